@@ -15,8 +15,8 @@ SPACES = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-BREAK_SET = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+SPACE = r"\s\x1c-\x1f"  # inside [...], under the flag (?U)
+BREAK = r"\v\x1c-\x1e"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,7 +36,7 @@ def strip(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Remove all white space."""
-    return F.regexp_replace(text, f"[{SPACE_SET}]+", "")
+    return F.regexp_replace(text, f"(?U)[{SPACE}]+", "")
 
 
 def drop(text: Column, *literals: str) -> Column:
@@ -67,7 +67,7 @@ def last_line(text: Column) -> Column:
     behind it, so the cost is linear in the text.
     """
     line = F.regexp_extract(
-        text, rf"\A(?:(?s:.*)[{BREAK_SET}])?([^{BREAK_SET}]*[^{SPACE_SET}])", 1
+        text, rf"(?U)\A(?:(?s:.*)[{BREAK}])?([^{BREAK}]*[^{SPACE}])", 1
     )
     return strip(line)
 

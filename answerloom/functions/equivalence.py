@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from answerloom.functions.columns import enclosed, let, strip, unwrap
+from answerloom.functions.columns import SPACE, enclosed, let, unwrap
 from answerloom.functions.normalization import (
     bare_form,
     bare_is_number,
@@ -33,11 +33,12 @@ NESTING = 3
 
 def simple_match(pred: Column, gold: Column) -> Column:
     """Equality after the simple normalisation."""
-    return simple_form(pred) == simple_form(gold)
+    forms = F.transform(F.array(pred, gold), simple_form)
+    return let(forms, lambda both: both[0] == both[1])
 
 
 def is_blank(answer: Column) -> Column:
-    return answer.isNull() | (strip(answer) == "")
+    return answer.isNull() | ~F.rlike(answer, F.lit(f"(?U)[^{SPACE}]"))
 
 
 def _bare_parts(bare: Column) -> Column:
@@ -94,14 +95,24 @@ def _grouped_match(p: Column, g: Column, depth: int) -> Column:
 def bare_match(p: Column, g: Column, depth: int = NESTING) -> Column:
     """The cascade on two answers already in bare form."""
     words = F.rlike(g, F.lit(LETTER)) & ~F.rlike(g, F.lit(DIGIT_OR_OPERATOR))
+    both = F.array(p, g)
     rules = [
         F.when(p == g, F.lit(True)),
-        F.when(words, text_form_of_bare(p) == text_form_of_bare(g)),
+        F.when(
+            words,
+            let(F.transform(both, text_form_of_bare), lambda text: text[0] == text[1]),
+        ),
         F.when(
             bare_is_number(p) & bare_is_number(g),
-            F.abs(bare_to_double(p) - bare_to_double(g)) <= TOLERANCE,
+            let(
+                F.transform(both, bare_to_double),
+                lambda value: F.abs(value[0] - value[1]) <= TOLERANCE,
+            ),
+        ),
+        let(
+            F.transform(both, lambda x: unwrap(x, "(", ")")),
+            lambda core: core[0] == core[1],
         ),
-        unwrap(p, "(", ")") == unwrap(g, "(", ")"),
     ]
     if depth:
         rules.insert(2, _grouped_match(p, g, depth - 1))

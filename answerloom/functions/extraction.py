@@ -14,12 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from answerloom.functions.columns import SPACE_SET, first_group, last_line, let, strip
+from answerloom.functions.columns import SPACE, first_group, last_line, let, strip
 
 # The answer markers.
 SIMPLE_BOX = r"\\boxed\{([^}]*+)\}"
-ANSWER_LINE = rf"(?iu)answer[{SPACE_SET}]*[:\-][{SPACE_SET}]*([^\n]+)"
-HASH_LINE = rf"####[{SPACE_SET}]*([^\n]+)"
+ANSWER_LINE = rf"(?iuU)answer[{SPACE}]*[:\-][{SPACE}]*([^\n]+)"
+HASH_LINE = rf"(?U)####[{SPACE}]*([^\n]+)"
 BOX = "\\boxed{"
 FRAMED_BOX = "\\fbox{"
 

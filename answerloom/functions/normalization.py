@@ -41,20 +41,23 @@ def simple_form(answer: Column) -> Column:
     of parentheses; both sides of a comparison lose them alike.
     """
     text = drop(strip(answer), "$", "\\left", "\\right", "\\,", "\\ ")
-    text = F.regexp_replace(squeeze(text), r"\A\\boxed\{", "")
-    return unwrap(F.regexp_replace(text, r"\}\z", ""), "(", ")")
+    text = F.regexp_replace(squeeze(text), r"\A\\boxed\{|\}\z", "")
+    return unwrap(text, "(", ")")
 
 
 def bare_form(answer: Column) -> Column:
     r"""Remove ``$``, sizing commands, text wrappers and all white space.
 
-    The nine wrapper replacements only run on the rare rows that have one.
+    Wrappers are taken off in rounds, and only on the rare rows that have one.
     """
     plain = drop(strip(answer), "$", "\\left", "\\right")
-    unwrapped = plain
-    for _ in range(UNWRAP_ROUNDS):
+
+    def one_round(text: Column, _: Column) -> Column:
         for command in TEXT_COMMANDS:
-            unwrapped = F.regexp_replace(unwrapped, rf"\\{command}\{{([^}}]*)\}}", "$1")
+            text = F.regexp_replace(text, rf"\\{command}\{{([^}}]*)\}}", "$1")
+        return text
+
+    unwrapped = F.aggregate(F.sequence(F.lit(1), F.lit(UNWRAP_ROUNDS)), plain, one_round)
     has_wrapper = F.contains(answer, F.lit("{")) & F.rlike(
         plain, F.lit(rf"\\(?:{'|'.join(TEXT_COMMANDS)})\{{")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.equivalence import (
@@ -14,23 +16,37 @@ from answerloom.functions.equivalence import (
 from answerloom.functions.extraction import robust_answer, simple_answer
 from answerloom.functions.normalization import bare_form
 
+# Writing out the cascade takes about a second of driver time, so each session
+# keeps the expression; it names the bare forms only, not a table.
+_CASCADES: WeakKeyDictionary[SparkSession, dict[int, Column]] = WeakKeyDictionary()
+
+
+def _cascade(spark: SparkSession, depth: int) -> Column:
+    known = _CASCADES.setdefault(spark, {})
+    if depth not in known:
+        known[depth] = bare_match(F.col("_bare")[0], F.col("_bare")[1], depth)
+    return known[depth]
+
 
 def with_match(
     df: DataFrame, pred: str, gold: str, out: str, depth: int = NESTING
 ) -> DataFrame:
     """Add the robust grade (0/1) of ``pred`` against ``gold``.
 
-    Row-local: no shuffle.  The two bare forms are columns of their own, so
-    each is computed once per row however many rules look at it.
+    Row-local: no shuffle.  The two bare forms are a column of their own, so
+    they are computed once per row however many rules look at them, and not at
+    all for answers that agree as they stand.
     """
-    bare = df.withColumns(
-        {"_p": bare_form(F.col(pred)), "_g": bare_form(F.col(gold))}
-    )
+    differ = F.col(pred) != F.col(gold)
+    sides = F.array(F.col(pred), F.col(gold))
+    bare = df.withColumn("_bare", F.when(differ, F.transform(sides, bare_form)))
     blank = is_blank(F.col(pred)) | is_blank(F.col(gold))
-    match = F.when(blank, F.lit(False)).otherwise(
-        bare_match(F.col("_p"), F.col("_g"), depth)
+    match = (
+        F.when(blank, F.lit(False))
+        .when(~differ, F.lit(True))
+        .otherwise(_cascade(df.sparkSession, depth))
     )
-    return bare.withColumn(out, match.cast("int")).drop("_p", "_g")
+    return bare.withColumn(out, match.cast("int")).drop("_bare")
 
 
 def grade_runs(

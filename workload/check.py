@@ -26,6 +26,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _value(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value + 0.0
+    if isinstance(value, dict):
+        return tuple(sorted(value.items()))
     return value
 
 
