@@ -109,10 +109,14 @@ def bare_match(p: Column, g: Column, depth: int = NESTING) -> Column:
                 lambda value: F.abs(value[0] - value[1]) <= TOLERANCE,
             ),
         ),
-        let(
-            F.transform(both, lambda x: unwrap(x, "(", ")")),
-            lambda core: core[0] == core[1],
+        F.when(
+            enclosed(p, "(", ")") | enclosed(g, "(", ")"),
+            let(
+                F.transform(both, lambda x: unwrap(x, "(", ")")),
+                lambda core: core[0] == core[1],
+            ),
         ),
+        F.lit(False),
     ]
     if depth:
         rules.insert(2, _grouped_match(p, g, depth - 1))

@@ -8,7 +8,15 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from answerloom.functions.columns import drop, let, nested_braces, squeeze, strip, unwrap
+from answerloom.functions.columns import (
+    SPACE,
+    drop,
+    let,
+    nested_braces,
+    squeeze,
+    strip,
+    unwrap,
+)
 
 # Commands that only wrap text, and the plain-text equivalents
 # of LaTeX operators, applied in this order.
@@ -48,8 +56,10 @@ def simple_form(answer: Column) -> Column:
 def bare_form(answer: Column) -> Column:
     r"""Remove ``$``, sizing commands, text wrappers and all white space.
 
-    Wrappers are taken off in rounds, and only on the rare rows that have one.
+    Most answers hold none of these and are returned as they are.  Wrappers
+    are taken off in rounds, and only on the rare rows that have one.
     """
+    removable = F.rlike(answer, F.lit(rf"(?U)[$\\{SPACE}]"))
     plain = drop(strip(answer), "$", "\\left", "\\right")
 
     def one_round(text: Column, _: Column) -> Column:
@@ -62,7 +72,7 @@ def bare_form(answer: Column) -> Column:
         plain, F.lit(rf"\\(?:{'|'.join(TEXT_COMMANDS)})\{{")
     )
     text = F.when(has_wrapper, unwrapped).otherwise(plain)
-    return squeeze(drop(text, "\\,", "\\ "))
+    return F.when(removable, squeeze(drop(text, "\\,", "\\ "))).otherwise(answer)
 
 
 def text_form_of_bare(bare: Column) -> Column:
