@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from answerloom.operators.runs import merge_runs, run_name
 from answerloom.sources.schemas import GRADED_FIELDS, RUN_SCHEMA
 
-# Completions hold line breaks and quotes, and quotes are doubled.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# Completions hold line breaks and quotes, and quotes are doubled; spaces around
+# a text belong to it.  Headers are checked against the schema, not skipped.
+WRITE_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+CSV_OPTIONS = {**WRITE_OPTIONS, "multiLine": True, "enforceSchema": False}
 PARTITIONS = ("method", "seed", "shard_id")
 
 
@@ -33,20 +41,12 @@ def _layout(header: list[str]) -> StructType:
 
 
 def _read_layout(spark: SparkSession, path: str, contains: str) -> DataFrame:
-    reader = spark.read.options(**CSV_OPTIONS)
-    if path.endswith(".csv") and not contains:
-        files = path
-    else:
-        files = path
-        reader = reader.option("pathGlobFilter", name_filter(contains))
-    # A text scan only lists here; an empty listing is a mistake, not a result.
-    listing = spark.read.option("recursiveFileLookup", False)
-    if not path.endswith(".csv") or contains:
-        listing = listing.option("pathGlobFilter", name_filter(contains))
-    if not listing.text(files).inputFiles():
+    only = {"pathGlobFilter": name_filter(contains)}
+    if not spark.read.options(**only).text(path).inputFiles():
         raise FileNotFoundError(f"no run file in {path!r} with {contains!r} in its name")
-    header = reader.csv(files).columns
-    return reader.option("enforceSchema", False).schema(_layout(header)).csv(files)
+    reader = spark.read.options(**CSV_OPTIONS, **only)
+    header = reader.csv(path).columns
+    return reader.schema(_layout(header)).csv(path)
 
 
 def read_runs(spark: SparkSession, *paths: str, contains: str = "") -> DataFrame:
@@ -64,11 +64,13 @@ def land_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write runs as Parquet by method, seed and shard.
 
     Multi-line CSV cannot be split and carries every column; Parquet can be
-    split and pruned.  The rebalance hint keeps file sizes even, whatever
-    share of the rows one method or seed has.
+    split and pruned.  The rebalance hint brings the rows of one directory
+    together, so each gets few files, and splits those of a directory that
+    holds a large share of all rows over many tasks.
     """
     present = [name for name in PARTITIONS if name in runs.columns]
-    runs.hint("rebalance").write.mode(mode).partitionBy(*present).parquet(path)
+    together = runs.hint("rebalance", *[F.col(name) for name in present])
+    together.write.mode(mode).partitionBy(*present).parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str, schema: str = RUN_SCHEMA) -> DataFrame:
@@ -80,17 +82,7 @@ def write_run_csv(runs: DataFrame, path: str, num_shards: int = 1) -> None:
     named = runs.withColumn("run", run_name(num_shards))
     (
         named.write.mode("overwrite")
-        .options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"})
+        .options(**WRITE_OPTIONS)
         .partitionBy("run")
         .csv(path)
     )
-
-
-def has_path(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from answerloom.operators.metrics import scores_summary
 from answerloom.operators.runs import per_example
-from answerloom.sources.runs import CSV_OPTIONS
+from answerloom.sources.runs import WRITE_OPTIONS
 
 
 def write_scores(graded: DataFrame, path: str) -> None:
@@ -24,5 +24,4 @@ def write_per_example(graded: DataFrame, path: str) -> None:
 
 def write_graded(graded: DataFrame, path: str) -> None:
     """The whole graded run table as CSV, for readers without Parquet."""
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    graded.write.mode("overwrite").options(**options).csv(path)
+    graded.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)

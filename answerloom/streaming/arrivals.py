@@ -20,7 +20,7 @@ def arriving_runs(spark: SparkSession, path: str, contains: str = "") -> DataFra
     """Stream of run rows; every file has the full run header."""
     return (
         spark.readStream.schema(RUN_SCHEMA)
-        .options(**CSV_OPTIONS, enforceSchema=False)
+        .options(**CSV_OPTIONS)
         .option("pathGlobFilter", name_filter(contains))
         .csv(path)
     )
