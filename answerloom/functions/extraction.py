@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from answerloom.functions.columns import SPACE, first_group, last_line, let, strip
 
 # The answer markers.
-SIMPLE_BOX = r"\\boxed\{([^}]*+)\}"
-ANSWER_LINE = rf"(?iuU)answer[{SPACE}]*[:\-][{SPACE}]*([^\n]+)"
-HASH_LINE = rf"(?U)####[{SPACE}]*([^\n]+)"
 BOX = "\\boxed{"
 FRAMED_BOX = "\\fbox{"
+ANSWER_LINE = rf"(?iuU)answer[{SPACE}]*[:\-][{SPACE}]*([^\n]+)"
+HASH_LINE = rf"(?U)####[{SPACE}]*([^\n]+)"
 
 
 def answer_line(text: Column) -> Column:
@@ -35,10 +34,20 @@ def hash_line(text: Column) -> Column:
 
 
 def simple_box(text: Column) -> Column:
-    r"""Content of the last ``\boxed{...}``, cut at its first closing brace."""
-    found = F.regexp_extract_all(text, F.lit(SIMPLE_BOX), F.lit(1))
+    r"""Content of the last ``\boxed{...}``, cut at its first closing brace.
+
+    A box that is never closed is matched too, up to the end of the text, and
+    dropped afterwards: otherwise every one of a long run of open boxes would
+    be followed to the end in vain.
+    """
+    boxes = F.regexp_extract_all(text, F.lit(r"\\boxed\{[^}]*+(?:\}|\z)"), F.lit(0))
+    closed = F.filter(boxes, lambda box: F.endswith(box, F.lit("}")))
+
+    def content(box: Column) -> Column:
+        return strip(F.substring(box, len(BOX) + 1, F.char_length(box) - len(BOX) - 1))
+
     return F.when(
-        F.contains(text, F.lit(BOX)), strip(F.try_element_at(found, F.lit(-1)))
+        F.contains(text, F.lit(BOX)), let(F.try_element_at(closed, F.lit(-1)), content)
     )
 
 
@@ -55,9 +64,11 @@ def closed_group(tail: Column) -> Column:
     NULL when the group is never closed.  Works on the pieces between closing
     braces: each piece adds its opening braces and takes one away, and the
     group ends with the piece that brings the depth to zero.  Only the number
-    of that piece is carried, so the text itself is cut once, at the end.
+    of that piece is carried, so the text itself is cut once, at the end.  The
+    last piece has no brace behind it; one more opening brace in front of the
+    end keeps it from closing anything.
     """
-    pieces = F.regexp_extract_all(tail, F.lit(r"([^}]*+)\}"), F.lit(1))
+    pieces = F.split(F.concat(tail, F.lit("{")), r"\}")
 
     def step(state: Column, piece: Column) -> Column:
         opened = F.octet_length(piece) - F.octet_length(

@@ -62,9 +62,13 @@ def bare_form(answer: Column) -> Column:
     removable = F.rlike(answer, F.lit(rf"(?U)[$\\{SPACE}]"))
     plain = drop(strip(answer), "$", "\\left", "\\right")
 
+    # The second branch puts an unclosed wrapper back as it is, together with all
+    # that follows: nothing behind it can be closed, so nothing is searched twice.
     def one_round(text: Column, _: Column) -> Column:
         for command in TEXT_COMMANDS:
-            text = F.regexp_replace(text, rf"\\{command}\{{([^}}]*)\}}", "$1")
+            opened = rf"\\{command}\{{"
+            pattern = rf"{opened}([^}}]*+)\}}|({opened}[^}}]*+\z)"
+            text = F.regexp_replace(text, pattern, "$1$2")
         return text
 
     unwrapped = F.aggregate(F.sequence(F.lit(1), F.lit(UNWRAP_ROUNDS)), plain, one_round)
