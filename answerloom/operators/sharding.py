@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Low bits of monotonically_increasing_id: the position inside a partition.
-_POSITION_MASK = (1 << 33) - 1
-
 
 def with_file_position(
     spark: SparkSession, path: str, out: str = "position", columns: list[str] | None = None
@@ -39,37 +39,33 @@ def with_file_position(
     )
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="answerloom-")
+    raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+
+
 def with_position(df: DataFrame, *order: str, out: str = "position") -> DataFrame:
     """Each row's dense 0-based position in the given order (a unique key).
 
-    The rows are range-partitioned and sorted within the partitions, so no task
-    sees more than its range.  They are checkpointed before being numbered:
-    partition numbers have to stay what they were when the partition sizes were
-    counted, also if an executor is lost.  The sizes are one row per partition.
+    The rows are range-partitioned, sorted within the partitions and written to
+    the shared folder; their position is then simply the one in file order, and
+    no task ever holds more than its range.  Numbering the written files rather
+    than the running job keeps the numbers the same if an executor is lost.
     """
     spark = df.sparkSession
     parts = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
-    ranged = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_id", 33))
-    )
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
-    )
-    # One row per range partition, and their number is the setting read above.
-    return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_id").bitwiseAND(F.lit(_POSITION_MASK)) + F.col("_before"))
-        .drop("_id", "_part", "_before")
-    )
+    path = f"{_shared_folder(spark).rstrip('/')}/positions-{uuid.uuid4().hex}"
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.parquet(path)
+    return with_file_position(spark, path, out)
 
 
 def take_shard(
