@@ -5,6 +5,7 @@ from answerloom.operators.likelihood import (
     average_entropy,
     sequence_logprob,
     suffix_logprob,
+    with_token_entropy,
     with_token_logprob,
 )
 
@@ -63,6 +64,12 @@ def test_entropy(tokens, sequences):
         assert r.avg_entropy == pytest.approx(want, abs=1e-9)
 
 
+def test_token_entropy(tokens, sequences):
+    for r in with_token_entropy(tokens).collect():
+        p = log_softmax(sequences[r.seq_id][0])[r.pos]
+        assert r.entropy == pytest.approx(-(np.exp(p) * p).sum(), abs=1e-9)
+
+
 def test_extreme_logits_do_not_overflow(spark):
     df = spark.createDataFrame([(1, 1, 0, [1e4, -1e4, 1e4], 0)], SCHEMA)
     assert with_token_logprob(df).head().logprob == pytest.approx(-np.log(2))

@@ -194,35 +194,27 @@ ORACLES["number_like"] = f"""{GRADED_PAIRS}
 SELECT pair_id, {is_number('p0')} AS pred_is_number, {number('p0')} AS pred_value,
        {is_number('g0')} AS gold_is_number, {number('g0')} AS gold_value FROM bared"""
 
-# The depth after every character, floored at 0, then the commas at depth 0.
+# Character by character: the depth, floored at 0, and the commas at depth 0.
 ORACLES["split_commas"] = f"""{GRADED_PAIRS},
 texts AS (
   SELECT 'gold' AS source, pair_id AS id,
          regexp_replace(g0, '^[({{](.*)[)}}]$', '\\1') AS text FROM bared
   UNION ALL SELECT 'document', doc_id, text FROM documents),
-pieces AS (
-  SELECT source, id, unnest(string_split(text, ',')) AS piece,
-         generate_subscripts(string_split(text, ','), 1) AS i FROM texts),
-moves AS (
-  SELECT source, id, i, piece,
-         list_reduce(list_transform(regexp_extract_all(piece, '[(\\[{{)\\]}}]'),
-           lambda b: CASE WHEN b IN ('(', '[', '{{') THEN 1 ELSE -1 END),
-           lambda a, b: a + b, 0) AS net,
-         len(regexp_extract_all(piece, '[)\\]}}]')) > 0 AS closes FROM pieces),
-walk AS (
-  SELECT *, sum(net) OVER w AS level,
-         least(0, min(net) OVER w) AS lowest FROM moves
-  WINDOW w AS (PARTITION BY source, id ORDER BY i)),
-floored AS (
-  SELECT *, level - least(0, min(level) OVER (PARTITION BY source, id ORDER BY i)) AS depth
-  FROM walk),
+characters AS (
+  SELECT source, id, unnest(string_split(text, '')) AS ch,
+         generate_subscripts(string_split(text, ''), 1) AS i FROM texts),
+levels AS (
+  SELECT *, sum(CASE WHEN ch IN ('(', '[', '{{') THEN 1 WHEN ch IN (')', ']', '}}') THEN -1
+                ELSE 0 END) OVER (PARTITION BY source, id ORDER BY i) AS level FROM characters),
+commas AS (
+  SELECT *, ch = ',' AND level = least(0, min(level) OVER (PARTITION BY source, id ORDER BY i))
+            AS ends FROM levels),
 parts AS (
-  SELECT source, id, i, piece,
-         count(*) FILTER (WHERE before = 0) OVER (PARTITION BY source, id ORDER BY i) AS part
-  FROM (SELECT *, coalesce(lag(depth) OVER (PARTITION BY source, id ORDER BY i), 0) AS before
-        FROM floored)),
+  SELECT *, count(*) FILTER (WHERE ends) OVER (PARTITION BY source, id ORDER BY i) AS part
+  FROM commas),
 joined AS (
-  SELECT source, id, part, {trim("string_agg(piece, ',' ORDER BY i)")} AS text
+  SELECT source, id, part,
+         {trim("coalesce(string_agg(ch, '' ORDER BY i) FILTER (WHERE NOT ends), '')")} AS text
   FROM parts GROUP BY source, id, part)
 SELECT source, id,
        CAST(row_number() OVER (PARTITION BY source, id ORDER BY part) - 1 AS INT) AS part_no,
@@ -367,6 +359,9 @@ def scored(temperature: float) -> str:
 ORACLES["token_logprob"] = (
     f"{scored(TEMPERATURE)} SELECT seq_id, pos, round(lp, 9) AS logprob FROM scored"
 )
+ORACLES["token_entropy"] = (
+    f"{scored(1.0)} SELECT seq_id, pos, round(entropy, 9) AS entropy FROM scored"
+)
 ORACLES["seq_logprob"] = f"""{scored(1.0)}
 SELECT seq_id, round(coalesce(sum(lp) FILTER (WHERE pos >= 1), 0), 9) AS logprob
 FROM scored GROUP BY seq_id"""

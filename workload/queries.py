@@ -403,6 +403,13 @@ def token_logprob(spark, sf_dir):
     )
 
 
+@query
+def token_entropy(spark, sf_dir):
+    return likelihood.with_token_entropy(tokens(spark, sf_dir)).select(
+        "seq_id", "pos", rounded("entropy").alias("entropy")
+    )
+
+
 @query
 def seq_logprob(spark, sf_dir):
     return likelihood.sequence_logprob(tokens(spark, sf_dir)).select(
