@@ -15,11 +15,14 @@ def token_logprob(logits: Column, target: Column, temperature: float = 1.0) -> C
     """``log_softmax(logits / temperature)[target]``; ``target`` counts from 0."""
     scale = 1.0 / max(temperature, MIN_TEMPERATURE)
 
+    def scaled(difference: Column) -> Column:
+        return difference if scale == 1.0 else difference * scale
+
     def given_top(top: Column) -> Column:
         total = F.aggregate(
-            logits, F.lit(0.0), lambda acc, x: acc + F.exp((x - top) * scale)
+            logits, F.lit(0.0), lambda acc, x: acc + F.exp(scaled(x - top))
         )
-        return (F.element_at(logits, target + 1) - top) * scale - F.ln(total)
+        return scaled(F.element_at(logits, target + 1) - top) - F.ln(total)
 
     return let(F.array_max(logits), given_top)
 
@@ -31,16 +34,10 @@ def token_entropy(logits: Column) -> Column:
     """
 
     def given_top(top: Column) -> Column:
-        sums = F.aggregate(
-            logits,
-            F.struct(F.lit(0.0).alias("e"), F.lit(0.0).alias("ex")),
-            lambda acc, x: let(
-                F.exp(x - top),
-                lambda e: F.struct(
-                    (acc["e"] + e).alias("e"), (acc["ex"] + e * (x - top)).alias("ex")
-                ),
-            ),
+        total = F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+        weighted = F.aggregate(
+            logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top) * (x - top)
         )
-        return let(sums, lambda s: F.ln(s["e"]) - s["ex"] / s["e"])
+        return let(F.array(total, weighted), lambda s: F.ln(s[0]) - s[1] / s[0])
 
     return let(F.array_max(logits), given_top)

@@ -4,20 +4,16 @@ Input columns: ``seq_id``, ``pos`` (0-based), ``target`` (token id),
 ``logits`` (``array<double>``, the distribution that predicted ``target``) and,
 where a prompt matters, ``prompt_len``; (``seq_id``, ``pos``) is the key.
 
-Vocabularies are wide, and a lambda over an array is interpreted entry by entry.
-The sequence measures therefore unfold the logits and sum them per token in
-generated code, which took a third to a seventh of the time at 32,000 entries.
-Map-side combine leaves one row per token before the shuffle and one per
-sequence and task before the next, so neither a wide vocabulary nor a very long
-sequence ends up in one task.
+Only one number per token reaches a shuffle, combined map-side, so a very long
+sequence is as cheap as many short ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.functions.tokens import MIN_TEMPERATURE, token_entropy, token_logprob
+from answerloom.functions.tokens import token_entropy, token_logprob
 
 
 def with_token_logprob(tokens: DataFrame, temperature: float = 1.0) -> DataFrame:
@@ -32,48 +28,15 @@ def with_token_entropy(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("entropy", token_entropy(F.col("logits")))
 
 
-def _token_sums(
-    tokens: DataFrame, wanted: Column, temperature: float = 1.0, **carried: Column
-) -> DataFrame:
-    """One row per token: ``logprob`` and ``entropy``, NULL where not wanted.
-
-    ``carried`` are further columns of the token row to keep.
-    """
-    scale = 1.0 / max(temperature, MIN_TEMPERATURE)
-    offset = (F.col("_x") - F.col("_top")) * scale
-    unfolded = (
-        tokens.select(
-            "seq_id",
-            "pos",
-            F.element_at("logits", F.col("target") + 1).alias("_picked"),
-            F.array_max("logits").alias("_top"),
-            F.explode_outer(F.when(wanted, F.col("logits"))).alias("_x"),
-            *[value.alias(name) for name, value in carried.items()],
-        )
-        .withColumn("_z", offset)
-        .withColumn("_e", F.exp("_z"))
-    )
-    sums = unfolded.groupBy("seq_id", "pos").agg(
-        F.max((F.col("_picked") - F.col("_top")) * scale).alias("_target"),
-        F.sum("_e").alias("_sum"),
-        F.sum(F.col("_e") * F.col("_z")).alias("_weighted"),
-        *[F.max(name).alias(name) for name in carried],
-    )
-    return sums.select(
-        "seq_id",
-        "pos",
-        (F.col("_target") - F.ln("_sum")).alias("logprob"),
-        (F.ln("_sum") - F.col("_weighted") / F.col("_sum")).alias("entropy"),
-        *carried,
-    )
-
-
 def sequence_logprob(tokens: DataFrame, temperature: float = 1.0) -> DataFrame:
     """Sum over all tokens but the first; 0.0 for a single token."""
+    value = F.when(
+        F.col("pos") >= 1, token_logprob(F.col("logits"), F.col("target"), temperature)
+    )
     return (
-        _token_sums(tokens, F.col("pos") >= 1, temperature)
+        tokens.select("seq_id", value.alias("value"))
         .groupBy("seq_id")
-        .agg(F.coalesce(F.sum("logprob"), F.lit(0.0)).alias("logprob"))
+        .agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("logprob"))
     )
 
 
@@ -86,14 +49,18 @@ def suffix_logprob(
     mean divides by the suffix length, at least 1.
     """
     inside = F.col("pos") >= F.col(prefix_len)
+    value = F.when(
+        inside & (F.col("pos") >= 1),
+        token_logprob(F.col("logits"), F.col("target"), temperature),
+    )
     sums = (
-        _token_sums(
-            tokens, inside & (F.col("pos") >= 1), temperature, inside=inside.cast("int")
+        tokens.select(
+            "seq_id", value.alias("value"), F.when(inside, F.lit(1)).alias("inside")
         )
         .groupBy("seq_id")
         .agg(
-            F.coalesce(F.sum("logprob"), F.lit(0.0)).alias("logprob_sum"),
-            F.coalesce(F.sum("inside"), F.lit(0)).alias("n_tokens"),
+            F.coalesce(F.sum("value"), F.lit(0.0)).alias("logprob_sum"),
+            F.count("inside").alias("n_tokens"),
         )
     )
     return sums.withColumn(
@@ -102,10 +69,31 @@ def suffix_logprob(
 
 
 def average_entropy(tokens: DataFrame) -> DataFrame:
-    """Mean entropy over the completion positions; 0.0 where there are none."""
+    """Mean entropy over the completion positions; 0.0 where there are none.
+
+    Entropy needs two sums over a wide vocabulary.  Lambdas over an array are
+    interpreted entry by entry, so the logits are unfolded and summed in
+    generated code instead, in about a third of the time at 32,000 entries.
+    Map-side combine leaves one row per token before the shuffle.
+    """
     inside = F.col("pos") >= F.greatest("prompt_len", F.lit(1))
-    return (
-        _token_sums(tokens, inside)
-        .groupBy("seq_id")
-        .agg(F.coalesce(F.avg("entropy"), F.lit(0.0)).alias("avg_entropy"))
+    # The top value comes before the unfolding: next to it, it would be
+    # computed again for every entry.
+    tops = tokens.select(
+        "seq_id",
+        "pos",
+        F.array_max("logits").alias("top"),
+        F.when(inside, F.col("logits")).alias("logits"),
+    )
+    entries = (
+        tops.select("seq_id", "pos", "top", F.explode_outer("logits").alias("x"))
+        .withColumn("z", F.col("x") - F.col("top"))
+        .withColumn("e", F.exp("z"))
+    )
+    per_token = entries.groupBy("seq_id", "pos").agg(
+        F.sum("e").alias("total"), F.sum(F.col("e") * F.col("z")).alias("weighted")
+    )
+    entropy = F.ln("total") - F.col("weighted") / F.col("total")
+    return per_token.groupBy("seq_id").agg(
+        F.coalesce(F.avg(entropy), F.lit(0.0)).alias("avg_entropy")
     )
