@@ -31,7 +31,7 @@ HEADLINE = (
     "grade_dedup_counts",
     "accuracy_by_method",
     "accuracy_cube",
-    "per_example_records",
+    "per_example",
     "outcome_counts",
     "pass_at_k_curve",
     "pass_at_k_orders",

@@ -46,7 +46,7 @@ def test_plan_stays_scalable(spark, name):
         assert operator not in text
 
 
-@pytest.mark.parametrize("name", ["grade_runs", "grade_simple", "extract_robust", "per_example_records",
+@pytest.mark.parametrize("name", ["grade_runs", "grade_simple", "extract_robust", "per_example",
                                   "run_params", "token_logprob", "mh_log_accept", "block_schedule"])
 def test_row_local_queries_do_not_shuffle(spark, name):
     """Nothing but the spreading of an input that cannot be split."""

@@ -278,7 +278,7 @@ LEFT JOIN graded g ON g.method = l.method GROUP BY position, l.method"""
 ORACLES["sweep_accuracy"] = f"""{GRADED}
 SELECT n_mcmc, count(*) AS n, round(100 * avg(correct_eval), 9) AS accuracy_pct
 FROM graded GROUP BY n_mcmc"""
-ORACLES["per_example_records"] = f"""{GRADED}
+ORACLES["per_example"] = f"""{GRADED}
 SELECT coalesce(example_id, '') AS example_id, coalesce(seed, -1) AS seed,
        coalesce(method, '') AS method, correct_eval AS correct,
        coalesce(gold, '') AS gold, pred_eval AS pred FROM graded"""
@@ -312,7 +312,7 @@ ORACLES["pass_at_k_orders"] = f"""{points(MAX_K, '''WITH graded AS (
 
 # --- run tables, prompts, shards -------------------------------------------
 
-ORACLES["merge_runs_by_name"] = f"""{cte(runs=RUNS)}
+ORACLES["merge_runs"] = f"""{cte(runs=RUNS)}
 SELECT method, example_id, seed, completion,
        CASE WHEN method <> 'base' THEN gold END AS gold,
        CASE WHEN method = 'power_mh' THEN n_mcmc END AS n_mcmc FROM runs"""

@@ -11,7 +11,7 @@ from answerloom.functions import extraction, normalization, prompts
 from answerloom.functions.columns import let
 from answerloom.functions.equivalence import answers_match
 from answerloom.operators import grading, likelihood, metrics, passk, sampler, sharding
-from answerloom.operators.runs import merge_runs, method_params, per_example
+from answerloom.operators import runs as run_tables
 from answerloom.plans.pass_at_k import pass_at_k_report
 from workload.standins import mh_steps, pairs, runs, solutions, tokens
 
@@ -271,8 +271,8 @@ def sweep_accuracy(spark, sf_dir):
 
 
 @query
-def per_example_records(spark, sf_dir):
-    return per_example(graded(spark, sf_dir))
+def per_example(spark, sf_dir):
+    return run_tables.per_example(graded(spark, sf_dir))
 
 
 # --- pass@k ---------------------------------------------------------------
@@ -320,14 +320,14 @@ def pass_at_k_orders(spark, sf_dir):
 
 
 @query
-def merge_runs_by_name(spark, sf_dir):
+def merge_runs(spark, sf_dir):
     """Runs with different columns: only chains have ``n_mcmc``, base has no gold."""
     table = runs(spark, sf_dir)
 
     def of(method: str) -> DataFrame:
         return table.filter(F.col("method") == method)
 
-    return merge_runs(
+    return run_tables.merge_runs(
         of("base").select("method", "example_id", "seed", "completion"),
         of("lowtemp").select("seed", "method", "gold", "completion", "example_id"),
         of("power_mh").select("n_mcmc", "method", "seed", "example_id", "gold", "completion"),
@@ -337,7 +337,7 @@ def merge_runs_by_name(spark, sf_dir):
 @query
 def run_params(spark, sf_dir):
     table = runs(spark, sf_dir).drop("n_mcmc")
-    return method_params(table).select(
+    return run_tables.method_params(table).select(
         "method", "seed", "example_id", "alpha", "B", "n_mcmc", "temperature"
     )
 
