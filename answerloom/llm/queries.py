@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerloom.llm import mixing, sharding, simhash
+from answerloom.llm import (
+    decontaminate, license_scan, mixing, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_rows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -21,12 +27,38 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(_table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(_table(spark, sf_dir, "pages"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"), license_scan.default_templates(spark))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op2_mix_sources": op2_mix_sources,
-    "op3_simhash_near_dedup": op3_simhash_near_dedup,
-    "op10_shard_tree": op10_shard_tree,
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_mix_sources, op3_simhash_near_dedup, op4_secret_scan, op5_quality_rules, op6_warc,
+        op7_suffix_dedup, op8_license_scan, op9_quality_classifier, op10_shard_tree,
+    )
 }
