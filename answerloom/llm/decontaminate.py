@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Sequence
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,8 @@ def tile(test: Sequence[int], doc: Sequence[int], least: int = MIN_MATCH) -> lis
         matches, longest = [], 0
         for d, value in windows(doc, free_doc, length):
             for t in starts.get(value, ()):
+                if t and d and test[t - 1] == doc[d - 1] and free_test[t - 1] and free_doc[d - 1]:
+                    continue  # part of the match that starts one word earlier
                 k = 0
                 while (
                     t + k < len(test) and d + k < len(doc)
@@ -89,15 +92,23 @@ def tile(test: Sequence[int], doc: Sequence[int], least: int = MIN_MATCH) -> lis
         if longest > 2 * length:  # a far longer match than expected: look at its length first
             length = longest
             continue
-        for k, t, d in sorted(matches):
-            k = -k
-            if all(free_test[t : t + k]) and all(free_doc[d : d + k]):
-                free_test[t : t + k] = free_doc[d : d + k] = [False] * k
-                tiles.append((t, d, k))
-        if length == least and not matches:
+        heapify(matches)
+        while matches:
+            k, t, d = heappop(matches)
+            free = [free_test[t + j] and free_doc[d + j] for j in range(-k)]
+            if all(free):
+                free_test[t : t - k] = free_doc[d : d - k] = [False] * -k
+                tiles.append((t, d, -k))
+                continue
+            start = 0
+            for j in range(-k + 1):  # what longer tiles have left of it waits for its turn
+                if j == -k or not free[j]:
+                    if j - start >= length:
+                        heappush(matches, (start - j, t + start, d + start))
+                    start = j + 1
+        if length == least:
             return tiles
-        if length > least:
-            length = max(least, length // 2)
+        length = max(least, length // 2)
 
 
 class Tests:
