@@ -127,19 +127,20 @@ def moments(rows: DataFrame) -> Moments:
     return Moments(n_u, n_p, square_u[0], square_p[0], square_u, square_p)
 
 
-def fit(m: Moments, prior: float, ridge: float = 1e-4, steps: int = 300) -> np.ndarray:
+def fit(m: Moments, prior: float, ridge: float = 0.01, steps: int = 300) -> np.ndarray:
     """Weights of least non-negative risk.
 
     The unbiased risk is quadratic and solved directly.  Where its negative
     part is below zero there, steps go on as in stochastic nnPU: against that
     part while it is negative, down the whole risk otherwise.
     """
-    left = m.square_u / 2 + 2 * ridge * np.eye(len(m.mean_u))
+    shrunk = np.r_[1e-6, np.full(len(m.mean_u) - 1, ridge)]  # not the constant
+    left = m.square_u / 2 + 2 * np.diag(shrunk)
 
     def risks(w: np.ndarray) -> tuple[float, float]:
         p = (1 + w @ m.square_p @ w) / 4
         negative = (1 + 2 * m.mean_u @ w + w @ m.square_u @ w) / 4 - prior * (p + m.mean_p @ w / 2)
-        return prior * (p - m.mean_p @ w / 2) + ridge * w @ w, negative
+        return prior * (p - m.mean_p @ w / 2) + shrunk @ w**2, negative
 
     w = np.linalg.solve(left, prior * m.mean_p - m.mean_u / 2)
     rest, negative = risks(w)
@@ -149,7 +150,7 @@ def fit(m: Moments, prior: float, ridge: float = 1e-4, steps: int = 300) -> np.n
     for _ in range(steps):
         slope_n = (m.mean_u + m.square_u @ w) / 2 - prior * (m.mean_p + m.square_p @ w) / 2
         slope_p = prior * (m.square_p @ w - m.mean_p) / 2
-        w = w - 0.1 * np.linalg.solve(left, slope_p + slope_n + 2 * ridge * w if negative >= 0 else -slope_n)
+        w = w - 0.1 * np.linalg.solve(left, slope_p + slope_n + 2 * shrunk * w if negative >= 0 else -slope_n)
         rest, negative = risks(w)
         if (risk := rest + max(0.0, negative)) < least:
             best, least = w, risk
@@ -183,7 +184,12 @@ def estimate_prior(rows: DataFrame, weights: np.ndarray) -> float:
     above = np.stack([bins[c].to_numpy(float)[::-1].cumsum() for c in "up"])
     shares = above / np.maximum(1.0, above[:, -1:])
     enough = shares[1] >= PRIOR_SUPPORT
-    return float(np.clip((shares[0][enough] / shares[1][enough]).min(), 0.05, 0.99)) if enough.any() else 0.5
+    if not enough.any():
+        return 0.5
+    # Half a standard error at most for either share, or the least of many ratios would be too low on few rows.
+    slack = 0.5 / np.sqrt(np.maximum(1.0, above[:, -1]))
+    ratios = (shares[0][enough] + slack[0]) / np.maximum(1e-9, shares[1][enough] - slack[1])
+    return float(np.clip(ratios.min(), 0.05, 0.99))
 
 
 @dataclass(frozen=True)
