@@ -31,7 +31,7 @@ placed AS (
 SELECT doc_id, size, source_size, target,
   CAST(greatest(0, least(size, coalesce(budget, 0) - start))
      + greatest(0, least(size, coalesce(budget, 0) - source_size - start)) AS BIGINT) AS taken
-FROM placed JOIN targets USING (source) LEFT JOIN budgets USING (rank)
+FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LEFT JOIN budgets USING (rank)
 """
 
 ORACLES = {"op2_mix_sources": MIX_SOURCES}
