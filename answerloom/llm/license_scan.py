@@ -102,7 +102,8 @@ def bands(hashes: Column) -> Column:
     blocks = F.transform(
         F.sequence(F.lit(0), ((F.size(hashes) - 1) / BLOCK).cast("int")),
         lambda c: _let(
-            F.slice(hashes, c * BLOCK + 1, F.lit(BLOCK)),
+            # Not slice(): inside a lambda that copies the whole array each time.  Missing ends are NULL, which least() skips.
+            F.array(*(F.get(hashes, c * BLOCK + k) for k in range(BLOCK))),
             lambda part: F.transform(
                 order, lambda m: F.aggregate(part, highest, lambda a, x: F.least(a, x.bitwiseXOR(m)))
             ),
@@ -135,15 +136,17 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     columns are not read.
     """
     known = templates.select("license_id", shingles(F.col("text")).alias("template")).filter(F.size("template") > 0)
-    known = known.withColumn("template", F.array_distinct("template"))
+    # Written, so that their size is known: small templates are broadcast, many are joined by key.
+    known = land(known.withColumn("template", F.array_distinct("template")), "license-templates")
     keys = F.when(F.size("template") < BLOCK, F.col("template")).otherwise(bands(F.col("template")))
-    wanted = known.select("license_id", F.explode(F.array_distinct(keys)).alias("_key"))
+    wanted = land(known.select("license_id", F.explode(F.array_distinct(keys)).alias("_key")), "license-keys")
 
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"))
-    hashed = named.select("doc_id", "_text_hash", shingles(F.col("text")).alias("_h"))
-    every = hashed.select(
-        "doc_id", "_text_hash", F.size("_h").alias("_n"), F.posexplode(F.concat("_h", bands(F.col("_h")))).alias("_at", "_key")
+    keyed = named.select("doc_id", "_text_hash", shingles(F.col("text")).alias("_h")).select(
+        "doc_id", "_text_hash", F.size("_h").alias("_n"), F.concat("_h", bands(F.col("_h"))).alias("_keys")
     )
+    # The outer form: for the inner one Spark would filter on the array first, and make it anew for that.
+    every = keyed.select("doc_id", "_text_hash", "_n", F.posexplode_outer("_keys").alias("_at", "_key"))
     # Single shingles come first, then the windows with BANDS values each.
     place = F.when(F.col("_at") < F.col("_n"), F.col("_at")).otherwise(
         (F.floor((F.col("_at") - F.col("_n")) / BANDS) * BLOCK).cast("int")
@@ -162,7 +165,9 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     size = F.size("template")
 
     def share(hashes: Column, place: Column) -> Column:
-        near = F.slice(hashes, F.greatest(place - size, F.lit(0)) + 1, 2 * size + 2 * BLOCK)
+        start = F.greatest(place - size, F.lit(0))
+        end = F.least(place + size + 2 * BLOCK, F.size(hashes)) - 1
+        near = F.transform(F.sequence(start, end), lambda i: F.get(hashes, i))
         held = F.size(F.array_intersect(F.col("template"), near)) / size
         return F.struct((-held).alias("missing"), place.alias("place"))
 
