@@ -46,16 +46,18 @@ def _let(value: Column, body) -> Column:
 def running_sum(numbers: Column, chunk: int = 256) -> Column:
     """Sum of all earlier entries, for each entry; in chunks, so that arrays are not copied once per entry."""
 
-    def inner(part: Column, start: Column) -> Column:
+    def inner(places: Column, start: Column) -> Column:
         return F.aggregate(
-            part,
+            places,
             F.struct(start.alias("pos"), F.array().cast("array<int>").alias("out")),
-            lambda a, x: F.struct((a["pos"] + x).alias("pos"), F.array_append(a["out"], a["pos"]).alias("out")),
+            lambda a, i: F.struct(
+                (a["pos"] + F.get(numbers, i)).alias("pos"), F.array_append(a["out"], a["pos"]).alias("out")
+            ),
         )
 
     def outer(acc: Column, c: Column) -> Column:
         return _let(
-            inner(F.slice(numbers, c * chunk + 1, F.lit(chunk)), acc["pos"]),
+            inner(F.sequence(c * chunk, F.least((c + 1) * chunk, F.size(numbers)) - 1), acc["pos"]),
             lambda r: F.struct(r["pos"].alias("pos"), F.array_append(acc["out"], r["out"]).alias("out")),
         )
 
@@ -81,7 +83,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
             moves = F.zip_with(F.slice(g, F.lit(1), F.size(l)), l, lambda a, b: a + b)
             return F.transform(
                 F.arrays_zip(
-                    running_sum(moves).alias("before"), g.alias("gap"), l.alias("len"),
+                    _let(moves, running_sum).alias("before"), g.alias("gap"), l.alias("len"),
                     F.regexp_extract_all(text, regex, F.lit(group)).alias("value"),
                 ),
                 lambda z: F.struct(
