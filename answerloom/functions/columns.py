@@ -81,3 +81,44 @@ def nested_braces(depth: int) -> str:
     for _ in range(depth):
         body = r"(?:[^{}]++|\{" + body + r"\})*+"
     return body
+
+
+def running(
+    items: Column, start: Column, step: Callable[[Column, Column], Column], kind: str, chunk: int = 256
+) -> Column:
+    """The state before each item, ``step`` giving the one behind it.
+
+    Appending to an array copies it, so states are gathered in chunks, and
+    chunks into the result: the work is near linear in the items.
+    """
+
+    def inside(places: Column, state: Column, every: Column) -> Column:
+        return F.aggregate(
+            places,
+            F.struct(state.alias("at"), F.array().cast(f"array<{kind}>").alias("seen")),
+            lambda acc, i: F.struct(
+                step(acc["at"], F.get(every, i)).cast(kind).alias("at"),
+                F.array_append(acc["seen"], acc["at"]).alias("seen"),
+            ),
+        )
+
+    def over_chunks(acc: Column, number: Column, every: Column) -> Column:
+        # Not slice(): inside a lambda that copies the whole array each time.
+        last = F.least((number + 1) * chunk, F.size(every)) - 1
+        return let(
+            inside(F.sequence(number * chunk, last), acc["at"], every),
+            lambda r: F.struct(r["at"].alias("at"), F.array_append(acc["seen"], r["seen"]).alias("seen")),
+        )
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int"))
+    first = F.struct(
+        start.cast(kind).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("seen")
+    )
+    return F.when(F.size(items) == 0, F.array().cast(f"array<{kind}>")).otherwise(
+        let(
+            items,
+            lambda every: F.flatten(
+                F.aggregate(numbers, first, lambda acc, n: over_chunks(acc, n, every))["seen"]
+            ),
+        )
+    )

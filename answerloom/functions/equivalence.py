@@ -5,8 +5,8 @@ Each rule is a column that is NULL while undecided, so the cascade is one
 ``coalesce``, which Spark evaluates lazily.
 
 Tuples and sets compare their parts with the same rules.  Column expressions
-cannot recurse, so the nesting is written out ``depth`` levels deep; below that
-parts are compared as words, numbers or text.
+cannot recurse, so the nesting is written out ``NESTING`` levels deep; answers
+with more brackets take the route without a limit (``functions.deep``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from answerloom.functions.columns import SPACE, enclosed, let, unwrap
+from answerloom.functions.deep import deep_match
 from answerloom.functions.normalization import (
     bare_form,
     bare_is_number,
@@ -123,9 +124,19 @@ def bare_match(p: Column, g: Column, depth: int = NESTING) -> Column:
     return F.coalesce(*rules)
 
 
-def answers_match(pred: Column, gold: Column, depth: int = NESTING) -> Column:
+def nested(bare: Column) -> Column:
+    """More opening brackets than the written-out nesting could need; may be NULL."""
+    return F.rlike(bare, F.lit(rf"(?:[(\[{{][^(\[{{]*+){{{NESTING + 1}}}"))
+
+
+def any_match(p: Column, g: Column, usual: Column) -> Column:
+    """``usual``, or the match without a limit where both bare answers are nested."""
+    deep = nested(p) & nested(g)
+    return F.when(deep, deep_match(F.when(deep, p), F.when(deep, g))).otherwise(usual)
+
+
+def answers_match(pred: Column, gold: Column) -> Column:
     """Robust equivalence as one boolean column; never NULL."""
-    bare = F.transform(F.array(pred, gold), bare_form)
-    return F.when(is_blank(pred) | is_blank(gold), F.lit(False)).otherwise(
-        let(bare, lambda both: bare_match(both[0], both[1], depth))
-    )
+    p, g = bare_form(pred), bare_form(gold)
+    usual = let(F.array(p, g), lambda both: bare_match(both[0], both[1]))
+    return F.when(is_blank(pred) | is_blank(gold), F.lit(False)).otherwise(any_match(p, g, usual))

@@ -13,10 +13,12 @@ from answerloom.functions.columns import (
     drop,
     let,
     nested_braces,
+    running,
     squeeze,
     strip,
     unwrap,
 )
+from answerloom.functions.deep import deep_text, fractions, roots
 
 # Commands that only wrap text, and the plain-text equivalents
 # of LaTeX operators, applied in this order.
@@ -38,6 +40,9 @@ FLOAT_LITERAL = (
     rf"(?i)\A[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
     r"|inf|infinity|nan)\z"
 )
+TOP, INNER = "\x01", "\x02"
+# Up to so many braces or roots in a text, patterns of fixed depth do; texts
+# with more take the route without a limit.
 BRACE_DEPTH = 40
 ROOT_ROUNDS = 6
 
@@ -125,41 +130,46 @@ def to_double(answer: Column) -> Column:
     return bare_to_double(bare_form(answer))
 
 
-def _depth_after(depth: Column, piece: Column) -> Column:
-    """Bracket depth behind ``piece``; closing brackets never take it below 0."""
+def _depth_change(piece: Column) -> Column:
+    """(fall, change) of the bracket depth over ``piece``: the lowest point below its start, and the end.
+
+    Closing brackets never take the depth below 0, so the depth behind it is
+    ``max(depth + change, change - fall)``.
+    """
     brackets = F.regexp_extract_all(piece, F.lit(r"[(\[{)\]}]"), F.lit(0))
-    return F.aggregate(
-        brackets,
-        depth,
-        lambda d, b: F.when(b.isin("(", "[", "{"), d + 1).otherwise(
-            F.greatest(d - 1, F.lit(0))
-        ),
-    )
+
+    def step(state: Column, bracket: Column) -> Column:
+        after = state["change"] + F.when(bracket.isin("(", "[", "{"), 1).otherwise(-1)
+        return F.struct(
+            F.least(state["fall"], after).alias("fall"), after.alias("change")
+        )
+
+    return F.aggregate(brackets, F.struct(F.lit(0).alias("fall"), F.lit(0).alias("change")), step)
 
 
 def _split_nested(text: Column) -> Column:
-    def step(state: Column, piece: Column) -> Column:
-        at_top = state["depth"] == 0
-        return F.struct(
-            _depth_after(state["depth"], piece).alias("depth"),
-            F.when(at_top, piece)
-            .otherwise(F.concat(state["open"], F.lit(","), piece))
-            .alias("open"),
-            F.when(at_top, F.array_append(state["done"], state["open"]))
-            .otherwise(state["done"])
-            .alias("done"),
+    """Cut at the commas before which the depth is 0.
+
+    Only depths are carried along the pieces.  Every comma is then put back with
+    a mark behind it, ``TOP`` or ``INNER``, and the text is cut at the former;
+    pieces hold no comma, so a comma's mark is never mistaken.  The work stays
+    in proportion to the text.
+    """
+
+    def cut(pieces: Column) -> Column:
+        def after(depth: Column, change: Column) -> Column:
+            return F.greatest(depth + change["change"], change["change"] - change["fall"])
+
+        depths = running(F.transform(pieces, _depth_change), F.lit(0), after, "int")
+        marked = F.zip_with(
+            pieces,
+            depths,
+            lambda piece, depth: F.concat(F.when(depth == 0, f",{TOP}").otherwise(f",{INNER}"), piece),
         )
+        parts = F.split(F.array_join(marked, ""), f",{TOP}")  # nothing stands before the first mark
+        return F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda part: F.replace(part, F.lit(f",{INNER}"), F.lit(",")))
 
-    return F.aggregate(
-        F.split(text, ","),
-        F.struct(
-            F.lit(0).alias("depth"),
-            F.lit("").alias("open"),
-            F.array().cast("array<string>").alias("done"),
-        ),
-        step,
-        lambda state: F.array_append(state["done"], state["open"]),
-    )
+    return let(F.split(text, ","), cut)
 
 
 def split_commas(text: Column) -> Column:
@@ -187,29 +197,35 @@ def expression_form(answer: Column) -> Column:
     return text
 
 
-def fractions_inline(text: Column, depth: int = BRACE_DEPTH) -> Column:
-    r"""``\frac{a}{b}`` and ``\dfrac{a}{b}`` to ``((a))/((b))``, outermost only."""
-    body = nested_braces(depth)
-    return F.regexp_replace(
+def fractions_inline(text: Column) -> Column:
+    r"""``\frac{a}{b}`` and ``\dfrac{a}{b}`` to ``((a))/((b))``, outermost only, whatever their depth."""
+    body = nested_braces(BRACE_DEPTH)
+    usual = F.regexp_replace(
         text, rf"\\d?frac\{{({body})\}}\{{({body})\}}", r"(($1))/(($2))"
     )
+    many = F.rlike(text, F.lit(rf"(?:\{{[^{{]*+){{{BRACE_DEPTH + 1}}}"))
+    return F.when(many, deep_text(fractions, F.when(many, text))).otherwise(usual)
 
 
-def roots_inline(
-    text: Column, depth: int = BRACE_DEPTH, rounds: int = ROOT_ROUNDS
-) -> Column:
+def roots_inline(text: Column) -> Column:
     r"""``\sqrt{a}`` to ``sqrt((a))``, nested ones too, up to the first unclosed."""
-    body = nested_braces(depth)
+    body = nested_braces(BRACE_DEPTH)
     unclosed = rf"(?s)\\sqrt\{{(?!{body}\}}).*\z"
 
     def rewrite(head: Column) -> Column:
         done = head
-        for _ in range(rounds):
+        for _ in range(ROOT_ROUNDS):
             done = F.regexp_replace(done, rf"\\sqrt\{{({body})\}}", r"sqrt(($1))")
         rest = F.substring(text, F.char_length(head) + 1, F.char_length(text))
         return F.concat(done, rest)
 
-    return F.when(
-        F.contains(text, F.lit("\\sqrt{")),
-        let(F.regexp_replace(text, unclosed, ""), rewrite),
-    ).otherwise(text)
+    usual = let(F.regexp_replace(text, unclosed, ""), rewrite)
+    many = F.rlike(
+        text,
+        F.lit(rf"(?:\{{[^{{]*+){{{BRACE_DEPTH + 1}}}|(?s)(?:\\sqrt\{{.*?){{{ROOT_ROUNDS + 1}}}"),
+    ) & F.contains(text, F.lit("\\sqrt{"))
+    return (
+        F.when(many, deep_text(roots, F.when(many, text)))
+        .when(F.contains(text, F.lit("\\sqrt{")), usual)
+        .otherwise(text)
+    )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.equivalence import (
-    NESTING,
+    any_match,
     bare_match,
     is_blank,
     simple_match,
@@ -16,37 +17,54 @@ from answerloom.functions.equivalence import (
 from answerloom.functions.extraction import robust_answer, simple_answer
 from answerloom.functions.normalization import bare_form
 
-# Writing out the cascade takes about a second of driver time, so each session
-# keeps the expression; it names the bare forms only, not a table.
-_CASCADES: WeakKeyDictionary[SparkSession, dict[int, Column]] = WeakKeyDictionary()
+# Writing out the rules takes about a second of driver time, so each session
+# keeps its expressions; they name columns only, not a table.
+_KEPT: WeakKeyDictionary[SparkSession, dict[tuple, Column]] = WeakKeyDictionary()
 
 
-def _cascade(spark: SparkSession, depth: int) -> Column:
-    known = _CASCADES.setdefault(spark, {})
-    if depth not in known:
-        known[depth] = bare_match(F.col("_bare")[0], F.col("_bare")[1], depth)
-    return known[depth]
+def _kept(spark: SparkSession, build: Callable[..., Column], *names: str) -> Column:
+    known = _KEPT.setdefault(spark, {})
+    key = (build, *names)
+    if key not in known:
+        known[key] = build(*names)
+    return known[key]
 
 
-def with_match(
-    df: DataFrame, pred: str, gold: str, out: str, depth: int = NESTING
-) -> DataFrame:
+def _robust(completion: str) -> Column:
+    return robust_answer(F.col(completion))
+
+
+def _blank(pred: str, gold: str) -> Column:
+    return is_blank(F.col(pred)) | is_blank(F.col(gold))
+
+
+def _bare(name: str, other: str) -> Column:
+    """Bare form where the two answers differ as they stand, NULL elsewhere."""
+    return F.when(F.col(name) != F.col(other), bare_form(F.col(name)))
+
+
+def _cascade() -> Column:
+    p, g = F.col("_bare_pred"), F.col("_bare_gold")
+    return any_match(p, g, bare_match(p, g))
+
+
+def with_match(df: DataFrame, pred: str, gold: str, out: str) -> DataFrame:
     """Add the robust grade (0/1) of ``pred`` against ``gold``.
 
-    Row-local: no shuffle.  The two bare forms are a column of their own, so
+    Row-local: no shuffle.  The two bare forms are columns of their own, so
     they are computed once per row however many rules look at them, and not at
     all for answers that agree as they stand.
     """
-    differ = F.col(pred) != F.col(gold)
-    sides = F.array(F.col(pred), F.col(gold))
-    bare = df.withColumn("_bare", F.when(differ, F.transform(sides, bare_form)))
-    blank = is_blank(F.col(pred)) | is_blank(F.col(gold))
+    spark = df.sparkSession
+    bare = df.withColumns(
+        {"_bare_pred": _kept(spark, _bare, pred, gold), "_bare_gold": _kept(spark, _bare, gold, pred)}
+    )
     match = (
-        F.when(blank, F.lit(False))
-        .when(~differ, F.lit(True))
-        .otherwise(_cascade(df.sparkSession, depth))
+        F.when(_kept(spark, _blank, pred, gold), F.lit(False))
+        .when(F.col(pred) == F.col(gold), F.lit(True))
+        .otherwise(_kept(spark, _cascade))
     )
-    return bare.withColumn(out, match.cast("int")).drop("_bare")
+    return bare.withColumn(out, match.cast("int")).drop("_bare_pred", "_bare_gold")
 
 
 def grade_runs(
@@ -57,7 +75,7 @@ def grade_runs(
     A missing or empty completion gives an empty, hence wrong, prediction.
     One scan, no shuffle, whatever the size or skew of the table.
     """
-    extracted = runs.withColumn("pred_eval", robust_answer(F.col(completion)))
+    extracted = runs.withColumn("pred_eval", _kept(runs.sparkSession, _robust, completion))
     return with_match(extracted, "pred_eval", gold, "correct_eval")
 
 
@@ -81,7 +99,7 @@ def grade_runs_once_per_pair(
     which adaptive execution splits; it also broadcasts the pair table when
     its measured size allows.
     """
-    extracted = runs.withColumn("pred_eval", robust_answer(F.col(completion)))
+    extracted = runs.withColumn("pred_eval", _kept(runs.sparkSession, _robust, completion))
     pairs = extracted.select(
         F.col("pred_eval").alias("_pred"), F.col(gold).alias("_gold")
     ).distinct()
@@ -101,7 +119,7 @@ def correct_counts_once_per_pair(
     count is graded as one row, and the counts are summed.
     """
     extracted = runs.select(
-        *keys, robust_answer(F.col(completion)).alias("_pred"), F.col(gold).alias("_gold")
+        *keys, _kept(runs.sparkSession, _robust, completion).alias("_pred"), F.col(gold).alias("_gold")
     )
     copies = extracted.groupBy(*keys, "_pred", "_gold").agg(F.count("*").alias("_n"))
     graded = with_match(copies, "_pred", "_gold", "_ok")
