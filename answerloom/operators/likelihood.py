@@ -40,60 +40,46 @@ def sequence_logprob(tokens: DataFrame, temperature: float = 1.0) -> DataFrame:
     )
 
 
-def suffix_logprob(
+def diagnostics(
     tokens: DataFrame, prefix_len: str = "prompt_len", temperature: float = 1.0
 ) -> DataFrame:
-    """Sum and per-token mean over tokens at ``pos >= prefix_len``.
+    """``n_tokens``, ``logprob_sum``, ``logprob_avg`` and ``avg_entropy`` of each sequence's suffix, in one pass.
 
-    The first token has no distribution, so it is never part of the sum.  The
-    mean divides by the suffix length, at least 1.
+    The suffix are the tokens at ``pos >= prefix_len``.  The first token has no
+    distribution, so it is never part of a sum.  The log-probability divides by
+    the suffix length, at least 1; entropy is the mean over the suffix without
+    a first token, 0.0 where nothing is left.  Both are local to a token row,
+    so the logits are read once and repeated keys count as rows of their own.
     """
     inside = F.col("pos") >= F.col(prefix_len)
-    value = F.when(
-        inside & (F.col("pos") >= 1),
-        token_logprob(F.col("logits"), F.col("target"), temperature),
+    known = inside & (F.col("pos") >= 1)
+    logprob = token_logprob(F.col("logits"), F.col("target"), temperature)
+    rows = tokens.select(
+        "seq_id",
+        F.when(known, logprob).alias("value"),
+        F.when(known, token_entropy(F.col("logits"))).alias("entropy"),
+        F.when(inside, F.lit(1)).alias("inside"),
     )
-    sums = (
-        tokens.select(
-            "seq_id", value.alias("value"), F.when(inside, F.lit(1)).alias("inside")
-        )
-        .groupBy("seq_id")
+    return (
+        rows.groupBy("seq_id")
         .agg(
             F.coalesce(F.sum("value"), F.lit(0.0)).alias("logprob_sum"),
             F.count("inside").alias("n_tokens"),
+            F.coalesce(F.avg("entropy"), F.lit(0.0)).alias("avg_entropy"),
         )
+        .withColumn("logprob_avg", F.col("logprob_sum") / F.greatest("n_tokens", F.lit(1)))
     )
-    return sums.withColumn(
-        "logprob_avg", F.col("logprob_sum") / F.greatest("n_tokens", F.lit(1))
+
+
+def suffix_logprob(
+    tokens: DataFrame, prefix_len: str = "prompt_len", temperature: float = 1.0
+) -> DataFrame:
+    """Sum and per-token mean of ``diagnostics``; what is not asked for is not computed."""
+    return diagnostics(tokens, prefix_len, temperature).select(
+        "seq_id", "logprob_sum", "n_tokens", "logprob_avg"
     )
 
 
 def average_entropy(tokens: DataFrame) -> DataFrame:
-    """Mean entropy over the completion positions; 0.0 where there are none.
-
-    Entropy needs two sums over a wide vocabulary.  Lambdas over an array are
-    interpreted entry by entry, so the logits are unfolded and summed in
-    generated code instead, in about a third of the time at 32,000 entries.
-    Map-side combine leaves one row per token before the shuffle.
-    """
-    inside = F.col("pos") >= F.greatest("prompt_len", F.lit(1))
-    # The top value comes before the unfolding: next to it, it would be
-    # computed again for every entry.
-    tops = tokens.select(
-        "seq_id",
-        "pos",
-        F.array_max("logits").alias("top"),
-        F.when(inside, F.col("logits")).alias("logits"),
-    )
-    entries = (
-        tops.select("seq_id", "pos", "top", F.explode_outer("logits").alias("x"))
-        .withColumn("z", F.col("x") - F.col("top"))
-        .withColumn("e", F.exp("z"))
-    )
-    per_token = entries.groupBy("seq_id", "pos").agg(
-        F.sum("e").alias("total"), F.sum(F.col("e") * F.col("z")).alias("weighted")
-    )
-    entropy = F.ln("total") - F.col("weighted") / F.col("total")
-    return per_token.groupBy("seq_id").agg(
-        F.coalesce(F.avg(entropy), F.lit(0.0)).alias("avg_entropy")
-    )
+    """Mean entropy of ``diagnostics``."""
+    return diagnostics(tokens).select("seq_id", "avg_entropy")

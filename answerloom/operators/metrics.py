@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 METHODS = ("base", "lowtemp", "power_mh")
 
 
-def _ratio(correct: Column, n: Column) -> Column:
-    return F.when(n > 0, correct / n).otherwise(F.lit(0.0))
-
-
 def accuracy_overall(graded: DataFrame, correct: str = "correct_eval") -> DataFrame:
     """Row count and mean grade; 0.0 when there are no rows."""
     return graded.agg(
@@ -46,7 +42,7 @@ def accuracy_cube(graded: DataFrame, correct: str = "correct_eval") -> DataFrame
     neither tripled nor shuffled.
     """
     counts = graded.groupBy("method", "seed").agg(
-        F.count("*").alias("n"), F.sum(correct).alias("c")
+        F.count("*").alias("n"), F.count(correct).alias("graded"), F.sum(correct).alias("c")
     )
     level = F.expr("CASE grouping_id() WHEN 1 THEN 'method' WHEN 2 THEN 'seed' ELSE 'all' END")
     sets = counts.groupingSets(
@@ -54,14 +50,18 @@ def accuracy_cube(graded: DataFrame, correct: str = "correct_eval") -> DataFrame
     ).agg(
         level.alias("level"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("c"), F.lit(0)).alias("c"),
+        F.sum("graded").alias("graded"),
+        F.sum("c").alias("c"),
     )
     key = F.when(F.col("level") == "method", F.col("method")).when(
         F.col("level") == "seed", F.col("seed").cast("string")
     )
+    # As in the averages: a NULL grade counts as a row, not as wrong; a group without any grade has none.
+    mean = F.when(F.col("graded") > 0, F.col("c") / F.col("graded"))
+    accuracy = F.when(F.col("level") == "all", F.coalesce(mean, F.lit(0.0))).otherwise(mean)
     return (
         sets.select(
-            "level", key.alias("key"), "n", _ratio(F.col("c"), F.col("n")).alias("accuracy")
+            "level", key.alias("key"), "n", accuracy.alias("accuracy")
         ).filter((F.col("level") == "all") | F.col("key").isNotNull())
     )
 

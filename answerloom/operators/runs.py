@@ -46,9 +46,10 @@ def method_params(
     )
 
 
-def clean_problems(problems: DataFrame) -> DataFrame:
-    """Problem text with a trimmed gold answer and an id, '' where missing."""
+def clean_problems(problems: DataFrame, *keep: str) -> DataFrame:
+    """Problem text with a trimmed gold answer and an id, '' where missing; ``keep`` names further columns."""
     return problems.select(
+        *keep,
         "problem",
         strip(F.coalesce(F.col("answer").cast("string"), F.lit(""))).alias("gold"),
         F.coalesce(F.col("unique_id").cast("string"), F.lit("")).alias("example_id"),
@@ -78,6 +79,34 @@ def per_example(graded: DataFrame) -> DataFrame:
     )
 
 
+def run_rows(graded: DataFrame, likelihoods: DataFrame, rates: DataFrame, **params: float) -> DataFrame:
+    """One whole run row per generated completion.
+
+    ``graded``: runs with the simple grade and the keys ``seq_id`` and
+    ``chain_id``; ``likelihoods``: per ``seq_id`` as ``likelihood.diagnostics``
+    gives them; ``rates``: per ``chain_id`` as ``sampler.accept_rate`` does.
+    Either has one row per key.  Every completion keeps its row: figures that
+    are missing are 0, and so is the rate of a method without a chain.
+    """
+    rows = method_params(graded, **params)
+    found = likelihoods.select(
+        F.col("seq_id").alias("_seq"), "n_tokens", "logprob_sum", "logprob_avg", "avg_entropy"
+    )
+    accepted = rates.select(F.col("chain_id").alias("_chain"), F.col("accept_rate").alias("_rate"))
+    joined = rows.join(found, F.col("seq_id") == F.col("_seq"), "left").join(
+        accepted, F.col("chain_id") == F.col("_chain"), "left"
+    )
+    rate = F.when(F.col("method") == CHAIN_METHOD, F.col("_rate"))
+    return joined.select(
+        *rows.columns,
+        F.coalesce(rate, F.lit(0.0)).alias("accept_rate"),
+        F.coalesce("n_tokens", F.lit(0)).cast("long").alias("num_tokens_generated"),
+        F.coalesce("logprob_sum", F.lit(0.0)).alias("base_loglik_sum"),
+        F.coalesce("logprob_avg", F.lit(0.0)).alias("base_loglik_avg"),
+        F.coalesce("avg_entropy", F.lit(0.0)).alias("avg_entropy"),
+    )
+
+
 def run_name(num_shards: int) -> Column:
     """``{task}__{model}__{method}__seed{s}__shard{i}of{n}``, '/' in the model as '_'."""
     return F.format_string(

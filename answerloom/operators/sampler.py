@@ -6,10 +6,14 @@ Input columns: ``chain_id``, ``block``, ``step``, ``alpha``, ``prop_logp``,
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Steps per window segment: small enough for one task, large enough that a
+from answerloom.operators.sharding import shared_folder
+
+# Rows per window segment: small enough for one task, large enough that a
 # chain has few segments.
 SEGMENT_STEPS = 100_000
 
@@ -48,7 +52,7 @@ def with_acceptance(steps: DataFrame) -> DataFrame:
 
 
 def accept_rate(steps: DataFrame) -> DataFrame:
-    """Accepted share of the steps per chain."""
+    """Accepted share of the steps per chain; a run without a chain has no row, and 0.0 in ``run_rows``."""
     counts = (
         with_acceptance(steps)
         .groupBy("chain_id")
@@ -63,49 +67,67 @@ def accept_rate(steps: DataFrame) -> DataFrame:
 
 
 def carried_state(
-    steps: DataFrame, segment_steps: int = SEGMENT_STEPS, tolerance: float = 1e-9
+    steps: DataFrame, segment_rows: int = SEGMENT_STEPS, tolerance: float = 1e-9
 ) -> DataFrame:
     """Replay each chain's log-probability and compare it with the logged one.
 
     ``expected_logp`` is the proposal last accepted earlier in the block, or
     the block's first logged value; ``consistent`` says whether ``cur_logp``
-    agrees.  ``step`` must be a non-negative number that orders a block.
-
-    One chain may hold most of the log, so blocks are cut into segments of
-    ``segment_steps`` step numbers.  A segment's own summary (last accepted
-    proposal, first value) is a map-side aggregate; the state at its start
-    comes from a window over the summaries, which are few; and the row window
-    runs within a segment.  Rows are shuffled once, by segment.
+    agrees.  ``step`` must order a block.  NULL chains and blocks are chains
+    and blocks of their own; a NULL step comes first.
+
+    One chain may hold most of the log, so the log is range-partitioned by
+    chain, block and step and cut into segments of at most ``segment_rows``
+    rows: by count, so that sparse step numbers cut no more than dense ones.
+    The cut log is written to the shared folder, once, when the function is
+    called.  A segment's summary (last accepted proposal, first value) is one
+    row; the state at its start comes from a window over the summaries, which
+    are few; and the row window runs within a segment.
     """
+    spark = steps.sparkSession
+    order = ["chain_id", "block", "step"]
+    path = f"{shared_folder(spark)}/chains-{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()  # partitions follow one another, and rows within them
+    sorted_rows = with_acceptance(steps).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    sorted_rows.withColumn("_place", place).withColumn(
+        "_segment", F.floor(F.col("_place") / F.lit(segment_rows))
+    ).write.parquet(path)
+    logged = spark.read.parquet(path)
+
     segment = ["chain_id", "block", "_segment"]
-    logged = with_acceptance(steps).withColumn(
-        "_segment", F.floor(F.col("step") / F.lit(segment_steps))
-    )
     took = F.when(F.col("accepted"), F.col("prop_logp"))
     summaries = logged.groupBy(*segment).agg(
-        F.max_by("prop_logp", F.when(F.col("accepted"), F.col("step"))).alias("_last"),
-        F.min_by("cur_logp", "step").alias("_first"),
+        F.max_by("prop_logp", F.when(F.col("accepted"), F.col("_place"))).alias("_last"),
+        F.min_by("cur_logp", "_place").alias("_first"),
     )
     block = Window.partitionBy("chain_id", "block").orderBy("_segment")
     before = block.rowsBetween(Window.unboundedPreceding, -1)
     upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = summaries.select(
-        *segment,
+        F.col("chain_id").alias("_chain"),
+        F.col("block").alias("_of"),
+        F.col("_segment").alias("_cut"),
         F.coalesce(
             F.last("_last", ignorenulls=True).over(before), F.first("_first").over(upto)
         ).alias("_start"),
     )
     earlier = (
         Window.partitionBy(*segment)
-        .orderBy("step")
+        .orderBy("_place")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     expected = F.coalesce(F.last(took, ignorenulls=True).over(earlier), F.col("_start"))
+    same = (
+        F.col("chain_id").eqNullSafe(F.col("_chain"))
+        & F.col("block").eqNullSafe(F.col("_of"))
+        & (F.col("_segment") == F.col("_cut"))
+    )
     return (
-        logged.join(starts, segment)
+        logged.join(starts, same, "left")
         .withColumn("expected_logp", expected)
         .withColumn(
             "consistent", F.abs(F.col("expected_logp") - F.col("cur_logp")) <= tolerance
         )
-        .drop("_segment", "_start")
+        .drop("_segment", "_start", "_chain", "_of", "_cut", "_place")
     )

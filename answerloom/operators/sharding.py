@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def natural(name: Column) -> Column:
+    """Sort key of a file name in which numbers count as numbers: ``part-99999`` comes before ``part-100000``."""
+    pieces = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0))
+    return F.array_join(
+        F.transform(pieces, lambda x: F.when(F.rlike(x, F.lit(r"^\d")), F.lpad(x, 24, "0")).otherwise(x)), ""
+    )
+
+
+def _numbered(tagged: DataFrame, part: str, order: Column, out: str) -> DataFrame:
+    """Position of each row: its ``_row`` in its ``part``, plus the rows of all earlier parts.
+
+    The counts are one row per part, and one task adds them up; they are as
+    many as tasks or files have written the table.
+    """
+    counts = tagged.groupBy(part).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return tagged.join(offsets, part).withColumn(out, F.col("_row") + F.col("_before")).drop(part, "_row", "_before")
+
+
 def with_file_position(
     spark: SparkSession, path: str, out: str = "position", columns: list[str] | None = None
 ) -> DataFrame:
     """Read Parquet with each row's 0-based position in file order.
 
-    Files count in name order, rows as stored.  The position is the row's index
-    in its file plus the rows of all earlier files, so no row is sorted or
-    shuffled: only one count per file is.  The counts join on the file name and
-    are broadcast if Spark measures them small enough.
+    Files count in natural name order, rows as stored.  No row is sorted, and
+    none is shuffled while Spark measures the counts per file as small enough
+    to broadcast.
     """
     rows = spark.read.parquet(path)
     tagged = rows.select(
@@ -25,47 +43,41 @@ def with_file_position(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    files = rows.groupBy(F.col("_metadata.file_path").alias("_file")).agg(
-        F.count("*").alias("_rows")
-    )
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select(
-        "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
-    )
-    return (
-        tagged.join(offsets, "_file")
-        .withColumn(out, F.col("_row") + F.col("_before"))
-        .drop("_file", "_row", "_before")
-    )
+    return _numbered(tagged, "_file", natural(F.col("_file")), out)
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="answerloom-")
-    raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it; the warehouse where it names none, as in tests."""
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    ).rstrip("/")
 
 
-def with_position(df: DataFrame, *order: str, out: str = "position") -> DataFrame:
-    """Each row's dense 0-based position in the given order (a unique key).
+def with_position(df: DataFrame, *order: str, out: str = "position", path: str | None = None) -> DataFrame:
+    """Each row's dense 0-based position in the given order, which must tell all rows apart.
 
-    The rows are range-partitioned, sorted within the partitions and written to
-    the shared folder; their position is then simply the one in file order, and
-    no task ever holds more than its range.  Numbering the written files rather
-    than the running job keeps the numbers the same if an executor is lost.
+    The rows are range-partitioned, sorted within the partitions and written,
+    with the number of their partition and their place in it; no task ever
+    holds more than its range, and the numbers stay the same if an executor is
+    lost.  This happens at once, when the function is called.  ``path`` is the
+    folder written to, for callers that want to remove it; by default it is a
+    new one below the shared folder, which keeps it as long as it keeps
+    checkpoints.
     """
     spark = df.sparkSession
     parts = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
-    path = f"{_shared_folder(spark).rstrip('/')}/positions-{uuid.uuid4().hex}"
-    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.parquet(path)
-    return with_file_position(spark, path, out)
+    path = path or f"{shared_folder(spark)}/positions-{uuid.uuid4().hex}"
+    place = F.monotonically_increasing_id()
+    sorted_rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    sorted_rows.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_row", place.bitwiseAND(F.lit((1 << 33) - 1))
+    ).write.parquet(path)
+    return _numbered(spark.read.parquet(path), "_part", F.col("_part"), out)
 
 
 def take_shard(

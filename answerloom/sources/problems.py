@@ -4,14 +4,30 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from answerloom.operators.sharding import natural
 from answerloom.sources.schemas import PROBLEM_SCHEMA
 
 
+# Where a line stood: sorts like the files and their lines.
+FILE_ORDER = ("_file_key", "_block", "_line")
+
+
 def read_problems(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROBLEM_SCHEMA).json(path)
 
 
+def read_problems_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Problems with the columns of ``FILE_ORDER``: file in natural name order, split, and line within it."""
+    return spark.read.schema(PROBLEM_SCHEMA).json(path).select(
+        "*",
+        natural(F.col("_metadata.file_path")).alias(FILE_ORDER[0]),
+        F.col("_metadata.file_block_start").alias(FILE_ORDER[1]),
+        F.monotonically_increasing_id().alias(FILE_ORDER[2]),
+    )
+
+
 def _has_lines(spark: SparkSession, path: str) -> bool:
     try:
         return not spark.read.text(path).isEmpty()

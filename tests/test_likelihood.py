@@ -74,3 +74,39 @@ def test_extreme_logits_do_not_overflow(spark):
     df = spark.createDataFrame([(1, 1, 0, [1e4, -1e4, 1e4], 0)], SCHEMA)
     assert with_token_logprob(df).head().logprob == pytest.approx(-np.log(2))
     assert average_entropy(df).head().avg_entropy == pytest.approx(np.log(2))
+
+
+def test_repeated_keys_count_as_rows_of_their_own(spark):
+    from answerloom.operators.likelihood import average_entropy, diagnostics
+
+    df = spark.createDataFrame(
+        [(1, 1, 0, [0.0, 0.0], 0)] * 2 + [(2, 0, 0, [0.0, 0.0], 0)], "seq_id LONG, pos INT, target INT, logits ARRAY<DOUBLE>, prompt_len INT"
+    )
+    import math
+
+    got = {r.seq_id: r for r in diagnostics(df).collect()}
+    assert abs(got[1].avg_entropy - math.log(2)) < 1e-12 and got[1].n_tokens == 2
+    assert (got[2].avg_entropy, got[2].logprob_sum, got[2].n_tokens) == (0.0, 0.0, 1)
+    plan = average_entropy(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+
+
+def test_run_rows_keep_every_completion(spark):
+    from answerloom.operators.likelihood import diagnostics
+    from answerloom.operators.runs import run_rows
+    from answerloom.operators.sampler import accept_rate
+
+    runs = spark.createDataFrame(
+        [("base", 1, 1), ("power_mh", 1, 1), ("power_mh", 9, None), (None, None, 9)], "method STRING, seq_id LONG, chain_id LONG"
+    )
+    tokens = spark.createDataFrame(
+        [(1, 0, 0, [0.0, 0.0], 0), (1, 1, 0, [0.0, 0.0], 0)], "seq_id LONG, pos INT, target INT, logits ARRAY<DOUBLE>, prompt_len INT"
+    )
+    steps = spark.createDataFrame(
+        [(1, 1, 0, 4.0, -1.0, -2.0, 0.0, 0.0, 0.5)],
+        "chain_id LONG, block LONG, step LONG, alpha DOUBLE, prop_logp DOUBLE, cur_logp DOUBLE, logq_old DOUBLE, logq_new DOUBLE, u DOUBLE",
+    )
+    got = {(r.method, r.seq_id): r for r in run_rows(runs, diagnostics(tokens), accept_rate(steps)).collect()}
+    assert len(got) == 4
+    assert (got["base", 1].accept_rate, got["base", 1].num_tokens_generated) == (0.0, 2)
+    assert (got["power_mh", 1].accept_rate, got["power_mh", 9].accept_rate, got["power_mh", 9].avg_entropy) == (1.0, 0.0, 0.0)

@@ -21,7 +21,8 @@ from answerloom.operators.passk import (
 )
 
 SCHEMA = "method STRING, seed INT, example_id STRING, correct_eval INT"
-# Correct answers out of 100 per method and seed of the published main run.
+# Correct answers out of 100 per method and seed.  Only the totals per method and per seed are published;
+# the split between them is made up to fit.
 PUBLISHED = {"base": (62, 62, 62), "lowtemp": (67, 68, 67), "power_mh": (72, 71, 67)}
 
 

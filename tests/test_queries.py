@@ -10,8 +10,6 @@ from workload.oracles import ORACLES
 from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# The summary holds maps, which DuckDB hashes differently; see test_metrics.
-WITHOUT_ORACLE = {"scores_summary"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 
@@ -21,8 +19,8 @@ def con():
 
 
 def test_registry():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == WITHOUT_ORACLE
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
@@ -41,9 +39,11 @@ def plan(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_stays_scalable(spark, name):
     text = plan(spark, name)
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython",
-                     "MapInPandas", "FlatMapGroupsInPandas"):
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert operator not in text
+    # Python only sees answers nested beyond the written-out depth, and NULL for all others.
+    if "ArrowEvalPython" in text:
+        assert name.startswith(("grade", "accuracy", "method_series", "sweep", "scores", "per_example", "outcome", "pass_at_k", "replace"))
 
 
 @pytest.mark.parametrize("name", ["grade_runs", "grade_simple", "extract_robust", "per_example",

@@ -19,6 +19,7 @@ NEST1 = rf"(?:[^{{}}]|\{{{FLAT}\}})*"
 NEST2 = rf"(?:[^{{}}]|\{{{NEST1}\}})*"
 NEST3 = rf"(?:[^{{}}]|\{{{NEST2}\}})*"
 
+# What marks an answer.
 ANSWER = rf"(?im)(?:final answer|answer){WS}*[:\-]{WS}*(.+)$"
 HASH = rf"(?m)####{WS}*(.+)$"
 TAIL = r"(?s)^.*\\(?:boxed|fbox)\{(.*)$"
@@ -310,6 +311,14 @@ ORACLES["pass_at_k_orders"] = f"""{points(MAX_K, '''WITH graded AS (
          CAST(o_orderstatus = 'F' AS INT) AS correct_eval FROM orders)''')}
 {CURVE} HAVING count(v) > 0"""
 
+_ENTRIES = """(SELECT string_agg(concat(k, '=', CAST(CAST(round(a * 1e9) AS BIGINT) AS VARCHAR)), ',' ORDER BY k)
+   FROM (SELECT CAST({key} AS VARCHAR) AS k, avg(correct_eval) AS a FROM graded WHERE {key} IS NOT NULL GROUP BY {key}))"""
+ORACLES["scores_summary"] = f"""{GRADED}
+SELECT count(*) AS n, round(coalesce(avg(correct_eval), 0), 9) AS accuracy,
+       {_ENTRIES.format(key='method')} AS accuracy_by_method,
+       {_ENTRIES.format(key='seed')} AS accuracy_by_seed
+FROM graded"""
+
 # --- run tables, prompts, shards -------------------------------------------
 
 ORACLES["merge_runs"] = f"""{cte(runs=RUNS)}
@@ -321,11 +330,10 @@ SELECT method, seed, example_id, CAST(4 AS DOUBLE) AS alpha,
        CAST(CASE method WHEN 'power_mh' THEN 192 ELSE 0 END AS INT) AS B,
        CAST(CASE method WHEN 'power_mh' THEN 10 ELSE 0 END AS INT) AS n_mcmc,
        CAST(CASE method WHEN 'base' THEN 1 ELSE 0.25 END AS DOUBLE) AS temperature FROM runs"""
+# The prompt texts.
 _SYSTEM = "'You are a helpful assistant.'"
-_TASK = (
-    "concat('Solve the following math problem. Please reason step by step, and put your "
-    "final answer within \\boxed{}.', chr(10), chr(10), 'Problem:', chr(10), text)"
-)
+_SENTENCE = "Solve the following math problem. Please reason step by step, and put your final answer within \\boxed{}."
+_TASK = f"concat('{_SENTENCE}', chr(10), chr(10), 'Problem:', chr(10), text)"
 ORACLES["prompt_messages"] = f"""
 SELECT doc_id, 0 AS position, 'system' AS role, {_SYSTEM} AS content FROM documents
 UNION ALL SELECT doc_id, 1, 'user', {_TASK} FROM documents"""
@@ -400,3 +408,20 @@ carried AS (
   FROM accepted)
 SELECT chain_id, block, step, round(expected, 9) AS expected_logp,
        abs(expected - cur_logp) <= 1e-9 AS consistent FROM carried"""
+
+_METHOD = "CASE doc_id % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'lowtemp' ELSE 'power_mh' END"
+ORACLES["run_rows"] = f"""
+WITH likelihoods AS ({ORACLES["suffix_logprob"]}), entropies AS ({ORACLES["avg_entropy"]}),
+rates AS ({ORACLES["accept_rate"]}), solutions AS ({SOLUTIONS}),
+extracted AS (SELECT *, {SIMPLE} AS pred, {_METHOD} AS method FROM solutions)
+SELECT doc_id, method, CAST(4 AS DOUBLE) AS alpha,
+       CAST(CASE method WHEN 'power_mh' THEN 192 ELSE 0 END AS INT) AS B,
+       CAST(CASE method WHEN 'power_mh' THEN 10 ELSE 0 END AS INT) AS n_mcmc,
+       CAST(CASE method WHEN 'base' THEN 1 ELSE 0.25 END AS DOUBLE) AS temperature,
+       pred, CAST({simple_form('pred')} = {simple_form('gold')} AS INT) AS correct,
+       coalesce(n_tokens, 0) AS num_tokens_generated,
+       CASE WHEN method = 'power_mh' THEN coalesce(accept_rate, 0) ELSE 0 END AS accept_rate,
+       coalesce(logprob_sum, 0) AS base_loglik_sum, coalesce(logprob_avg, 0) AS base_loglik_avg,
+       coalesce(avg_entropy, 0) AS avg_entropy
+FROM extracted LEFT JOIN likelihoods l ON l.seq_id = doc_id LEFT JOIN entropies e ON e.seq_id = doc_id
+LEFT JOIN rates ON chain_id = doc_id"""

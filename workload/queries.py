@@ -246,7 +246,18 @@ def accuracy_cube(spark, sf_dir):
 
 @query
 def scores_summary(spark, sf_dir):
-    return metrics.scores_summary(graded(spark, sf_dir))
+    """The report, with its maps as sorted text (in billionths), which either engine writes alike."""
+
+    def text(name: str) -> Column:
+        entries = F.array_sort(F.map_entries(name))
+        parts = F.transform(
+            entries, lambda e: F.concat_ws("=", e["key"], F.round(e["value"] * 1e9).cast("long").cast("string"))
+        )
+        return F.array_join(parts, ",").alias(name)
+
+    return metrics.scores_summary(graded(spark, sf_dir)).select(
+        "n", rounded("accuracy").alias("accuracy"), text("accuracy_by_method"), text("accuracy_by_seed")
+    )
 
 
 @query
@@ -342,6 +353,26 @@ def run_params(spark, sf_dir):
     )
 
 
+@query
+def run_rows(spark, sf_dir):
+    """Solutions as completions; token sequences and sampler chains stand in for their diagnostics."""
+    table = solutions(spark, sf_dir).select(
+        "doc_id", "completion", "gold",
+        F.element_at(F.array(*map(F.lit, metrics.METHODS)), (F.col("doc_id") % 3 + 1).cast("int")).alias("method"),
+        F.col("doc_id").alias("seq_id"), F.col("doc_id").alias("chain_id"),
+    )
+    rows = run_tables.run_rows(
+        grading.grade_runs_simple(table),
+        likelihood.diagnostics(tokens(spark, sf_dir), temperature=TEMPERATURE),
+        sampler.accept_rate(mh_steps(spark, sf_dir)),
+    )
+    figures = ("accept_rate", "base_loglik_sum", "base_loglik_avg", "avg_entropy")
+    return rows.select(
+        "doc_id", "method", "alpha", "B", "n_mcmc", "temperature", "pred", "correct", "num_tokens_generated",
+        *(rounded(c).alias(c) for c in figures),
+    )
+
+
 @query
 def prompt_messages(spark, sf_dir):
     return documents(spark, sf_dir).select(
@@ -462,7 +493,7 @@ def accept_rate(spark, sf_dir):
 @query
 def mh_state_carry(spark, sf_dir):
     """Short segments, so that the state really crosses segment borders."""
-    return sampler.carried_state(mh_steps(spark, sf_dir), segment_steps=400).select(
+    return sampler.carried_state(mh_steps(spark, sf_dir), segment_rows=40).select(
         "chain_id",
         "block",
         "step",
