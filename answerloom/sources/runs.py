@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,24 +41,56 @@ def _layout(header: list[str]) -> StructType:
     )
 
 
-def _read_layout(spark: SparkSession, path: str, contains: str) -> DataFrame:
-    only = {"pathGlobFilter": name_filter(contains)}
-    if not spark.read.options(**only).text(path).inputFiles():
-        raise FileNotFoundError(f"no run file in {path!r} with {contains!r} in its name")
-    reader = spark.read.options(**CSV_OPTIONS, **only)
-    header = reader.csv(path).columns
-    return reader.schema(_layout(header)).csv(path)
+def _run_files(spark: SparkSession, path: str, contains: str) -> list[str]:
+    """CSV files at or below ``path`` with ``contains`` in their name below it: file name or run folder."""
+    options = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    found = [unquote(f) for f in spark.read.options(**options).text(path).inputFiles()]
+
+    def own(name: str) -> str:
+        """What the path adds to the given one; for a single file its name."""
+        below = name.rpartition(f"/{root}/")[2] if f"/{root}/" in name else name.rsplit("/", 1)[-1]
+        return below
+
+    return [f for f in found if contains in own(f)]
+
+
+def _layouts(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The files by header line, in one distributed pass over their first splits; empty files have no header."""
+    paths = [re.sub(r"([\\*?\[\]{}^])", r"\\\1", f) for f in files]
+    lines = (
+        spark.read.text(paths)
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    )
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    together = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [[unquote(f) for f in row.files] for row in together.orderBy("header").collect()]
 
 
 def read_runs(spark: SparkSession, *paths: str, contains: str = "") -> DataFrame:
     """Union of run files, typed by column name.
 
-    Each path is a directory (or one CSV file) whose files share one header;
-    paths may differ in their columns.  Only files with ``contains`` in the
-    name count.  No match raises, and so does a file whose header differs from
-    its neighbours', instead of shifting columns.
+    Each path is a directory, searched to the bottom, or one CSV file.  Only
+    files with ``contains`` in their name, or in that of a folder below the
+    path, count; no match raises.  Files may differ in their columns and in the
+    order of them: those with one header are read together, and the groups are
+    united by name, columns that a file does not have being NULL.
     """
-    return merge_runs(*[_read_layout(spark, path, contains) for path in paths])
+    files = []
+    for path in paths:
+        matching = _run_files(spark, path, contains)
+        if not matching:
+            raise FileNotFoundError(f"no run file in {path!r} with {contains!r} in its name")
+        files += matching
+    groups = []
+    for group in _layouts(spark, files):
+        escaped = [re.sub(r"([\\*?\[\]{}^])", r"\\\1", f) for f in group]
+        header = spark.read.options(**CSV_OPTIONS).csv(escaped[:1]).columns
+        groups.append(spark.read.options(**CSV_OPTIONS).schema(_layout(header)).csv(escaped))
+    if not groups:
+        return spark.createDataFrame([], RUN_SCHEMA)
+    return merge_runs(*groups)
 
 
 def land_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -80,12 +80,28 @@ def test_runs_are_merged_by_name(spark, tmp_path):
         merge_runs()
 
 
-def test_a_deviating_header_is_not_read_by_position(spark, tmp_path):
-    write_run(tmp_path, "a.csv", run_rows())
+def test_one_folder_may_mix_headers(spark, tmp_path):
+    """A full, a reordered and a shorter header with an extra column, each read by name."""
     columns = list(run_rows()[0])
+    write_run(tmp_path, "a.csv", run_rows())
     write_run(tmp_path, "b.csv", run_rows(seed=1), columns[::-1])
-    with pytest.raises(Exception, match="(?i)header"):
-        read_runs(spark, str(tmp_path)).collect()
+    write_run(tmp_path, "c.csv", run_rows(seed=2, note="hi"), ["note", "gold", "completion", "seed", "example_id"])
+    write_run(tmp_path, "d [1].csv", run_rows(seed=3))
+    (tmp_path / "empty.csv").write_text("")
+    rows = read_runs(spark, str(tmp_path)).collect()
+    assert sorted(r.seed for r in rows) == [s for s in range(4) for _ in range(3)]
+    for r in rows:
+        assert r.completion == COMPLETION and r.gold == ("7" if r.example_id == "e1" else "6")
+        assert (r.note, r.method) == (("hi", None) if r.seed == 2 else (None, "base"))
+
+
+def test_written_runs_are_found_by_name(spark, tmp_path):
+    df = spark.createDataFrame(pd.DataFrame(run_rows() + run_rows(seed=1)), RUN_SCHEMA)
+    write_run_csv(df, str(tmp_path / "out"), num_shards=2)
+    assert read_runs(spark, str(tmp_path / "out"), contains="T__org_m").count() == 6
+    assert {r.seed for r in read_runs(spark, str(tmp_path / "out"), contains="__seed1__").collect()} == {1}
+    with pytest.raises(FileNotFoundError):
+        read_runs(spark, str(tmp_path / "out"), contains="__seed7__")
 
 
 def test_empty_cells(spark, tmp_path):
