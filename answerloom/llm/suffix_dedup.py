@@ -23,6 +23,8 @@ a string that half of all documents hold is as cheap as any other.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +38,11 @@ from answerloom.llm.common import land
 LENGTH = 50
 GRAM = 24
 #: Bytes of text in a batch; a longer document is a batch of its own.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
+#: Anchors whose strings are named at a time; those with equal grams stay together.
+CHUNK = 1 << 15
+#: Bytes of text whose names are doubled at a time: whole documents up to about this size.
+BLOCK_BYTES = 1 << 18
 _NAME_BITS = 48
 
 
@@ -110,6 +116,17 @@ class Anchors:
         self.high = valid[np.r_[first[1:], len(valid)] - 1]
         self.names = names[self.at]
 
+    def moved(self, by: int) -> Anchors:
+        self.at, self.low, self.high = self.at + by, self.low + by, self.high + by
+        return self
+
+    @classmethod
+    def joined(cls, parts: list[Anchors], length: int, gram: int) -> Anchors:
+        whole = cls(np.empty(0, np.uint8), np.empty(0, np.int64), length, gram)
+        for name in ("names", "at", "low", "high") if parts else ():
+            setattr(whole, name, np.concatenate([getattr(p, name) for p in parts]))
+        return whole
+
     def keep(self, which: np.ndarray) -> None:
         self.at, self.low, self.high, self.names = (x[which] for x in (self.at, self.low, self.high, self.names))
 
@@ -205,9 +222,18 @@ class Batch:
         self.ids = np.frombuffer(_unzip(ids), "<i8")
         self.ends = np.cumsum(np.frombuffer(_unzip(sizes), "<i8"))
         self.data = np.frombuffer(_unzip(texts), np.uint8)
-        self.anchors = Anchors(self.data, self.ends, length, gram)
+        self.anchors = self._anchors(length, gram)
         self.short, self.of = np.unique(_short(self.anchors.names), return_inverse=True)
 
+    def _anchors(self, length: int, gram: int) -> Anchors:
+        found, first, start = [], 0, 0
+        while first < len(self.ends):
+            last = max(first + 1, int(np.searchsorted(self.ends, start + BLOCK_BYTES, side="right")))
+            end = int(self.ends[last - 1])
+            found.append(Anchors(self.data[start:end], self.ends[first:last] - start, length, gram).moved(start))
+            first, start = last, end
+        return Anchors.joined(found, length, gram)
+
     def docs(self) -> np.ndarray:
         """doc_id at each anchor."""
         return self.ids[np.searchsorted(self.ends, self.anchors.at, side="right")]
@@ -239,11 +265,19 @@ class Batch:
         return before, behind, kind, order[first]
 
 
+def _release() -> None:
+    """Give freed memory back: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict, Batch]]:
     for batch in batches:
         for k in range(batch.num_rows):
             row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
-            yield row, Batch(row["ids"], row["sizes"], row["texts"])
+            yield row, Batch(row["ids"], row["sizes"], row.pop("texts"))
+            _release()
 
 
 def _out(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -255,10 +289,12 @@ def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
     """All rows of a bucket, bucket by bucket, of a sorted partition."""
     held: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
             if held and held[0]["bucket"] != row["bucket"]:
                 yield held
                 held = []
+                _release()
             held.append(row)
     if held:
         yield held
@@ -355,16 +391,31 @@ def marked_strings(packed: DataFrame, shared: DataFrame, buckets: int) -> DataFr
 
 def string_masks(names: np.ndarray, docs: np.ndarray, reach: np.ndarray, sides: np.ndarray) -> np.ndarray:
     """Bit t of an anchor's mask: the string that starts t bytes before it is also in a document with a smaller id."""
+    masks = np.zeros(len(names), np.uint32)
+    order = np.argsort(names, kind="stable")
+    sorted_names = names[order]
+    start = 0
+    while start < len(order):
+        end = min(start + CHUNK, len(order))
+        end = int(np.searchsorted(sorted_names, sorted_names[end - 1], side="right"))
+        part = order[start:end]
+        masks[part] = _masks(names[part], docs[part], reach[:, part], sides[part])
+        start = end
+    return masks
+
+
+def _masks(names: np.ndarray, docs: np.ndarray, reach: np.ndarray, sides: np.ndarray) -> np.ndarray:
     side = LENGTH - GRAM
     masks = np.zeros(len(names), np.uint32)
-    heads = [np.zeros(len(names), np.uint64)]
     tails = [np.zeros(len(names), np.uint64)]
     for k in range(side):
-        heads.append(heads[-1] * np.uint64(_BASE) + _mix(sides[:, k].astype(np.uint64) + np.uint64(1)))
         tails.append(tails[-1] * np.uint64(_BASE) + _mix(sides[:, side + k].astype(np.uint64) + np.uint64(300)))
+    head = np.zeros(len(names), np.uint64)
     for t in range(side + 1):
+        if t:
+            head = head * np.uint64(_BASE) + _mix(sides[:, t - 1].astype(np.uint64) + np.uint64(1))
         has = np.flatnonzero((reach[0] <= t) & (t <= reach[1]))
-        name = _mix(_mix(names[has] + heads[t][has]) ^ tails[side - t][has])
+        name = _mix(_mix(names[has] + head[has]) ^ tails[side - t][has])
         order = np.lexsort((docs[has], name))
         sorted_names, sorted_docs = name[order], docs[has][order]
         first = np.r_[True, sorted_names[1:] != sorted_names[:-1]] if len(order) else np.empty(0, bool)
@@ -421,10 +472,10 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     doc_id is larger than any other.  Rows with the same doc_id are one
     document to each other, so what only they share stays.  Other columns are
     not read; an empty table gives no rows.  ``buckets``: ranges of names that
-    are compared apart, by default one per shuffle partition.
+    are compared apart, by default two per shuffle partition.
     """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = land(pack(docs), "repeats-packed")
     shared = land(shared_names(packed, buckets), "repeats-shared")
     marked = land(marked_strings(packed, shared, buckets), "repeats-marked")
