@@ -34,4 +34,21 @@ SELECT doc_id, size, source_size, target,
 FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LEFT JOIN budgets USING (rank)
 """
 
-ORACLES = {"op2_mix_sources": MIX_SOURCES}
+# Base32 by hand: five bits of the SHA-1 at a time.
+WARC_PAGES = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages),
+firsts AS (SELECT bits, max(page_id) AS first FROM payloads GROUP BY bits),
+coded AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, first,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT)
+        + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1)), '') AS payload_digest
+  FROM payloads JOIN firsts USING (bits))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM coded
+"""
+
+ORACLES = {"op2_mix_sources": MIX_SOURCES, "op6_warc": WARC_PAGES}
