@@ -239,7 +239,7 @@ SELECT {RUN_KEYS}, concat(regexp_replace(regexp_replace({_HEAD}, {_ROOT}), {_ROO
 
 ORACLES["grade_simple"] = f"""{cte(runs=RUNS, extracted=f"SELECT *, {SIMPLE} AS pred FROM runs")}
 SELECT {RUN_KEYS}, pred,
-       CAST({simple_form('pred')} = {simple_form('gold')} AS INT) AS correct FROM extracted"""
+       CAST({simple_form('pred')} = {simple_form("coalesce(gold, '')")} AS INT) AS correct FROM extracted"""
 ORACLES["grade_equiv"] = (
     f"{GRADED_PAIRS} SELECT pair_id, pred, gold, CAST({MATCH} AS INT) AS correct FROM bared"
 )
@@ -324,7 +324,7 @@ FROM graded"""
 ORACLES["merge_runs"] = f"""{cte(runs=RUNS)}
 SELECT method, example_id, seed, completion,
        CASE WHEN method <> 'base' THEN gold END AS gold,
-       CASE WHEN method = 'power_mh' THEN n_mcmc END AS n_mcmc FROM runs"""
+       CASE WHEN method = 'power_mh' THEN n_mcmc END AS n_mcmc FROM runs WHERE method IS NOT NULL"""
 ORACLES["run_params"] = f"""{cte(runs=RUNS)}
 SELECT method, seed, example_id, CAST(4 AS DOUBLE) AS alpha,
        CAST(CASE method WHEN 'power_mh' THEN 192 ELSE 0 END AS INT) AS B,
@@ -389,9 +389,9 @@ SELECT doc_id, n_chars AS length, b AS block, least(b * 192, n_chars) AS block_e
 FROM (SELECT doc_id, n_chars,
              unnest(range(1, CAST(ceil(n_chars / 192.0) AS BIGINT) + 1)) AS b FROM documents)"""
 ACCEPTANCE = cte(
-    steps=MH_STEPS,
+    steps=MH_STEPS.format(inside=" IGNORE NULLS", outside=""),
     ratios="SELECT *, alpha * (prop_logp - cur_logp) + (logq_old - logq_new) AS la FROM steps",
-    accepted="SELECT *, ln(u) < least(0.0, la) AS ok FROM ratios",
+    accepted="SELECT *, CASE WHEN u > 0 THEN ln(nullif(u, 0)) < least(0.0, la) ELSE true END AS ok FROM ratios",
 )
 ORACLES["mh_log_accept"] = f"""{ACCEPTANCE}
 SELECT chain_id, block, step, round(la, 9) AS log_accept, ok AS accepted FROM accepted"""

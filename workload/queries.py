@@ -149,9 +149,10 @@ def split_commas(spark, sf_dir):
 
 def _latex_sum(spark, sf_dir) -> DataFrame:
     """Run completions joined with a nested and an unclosed command."""
+    gold = F.coalesce("gold", F.lit(""))
     text = F.concat_ws(
-        "+", "completion", F.concat(F.lit("\\dfrac{{"), "gold", F.lit("}}{\\sqrt{2}}")),
-        F.concat(F.lit("\\sqrt{x+\\sqrt{"), "gold", F.lit("}}")),
+        "+", "completion", F.concat(F.lit("\\dfrac{{"), gold, F.lit("}}{\\sqrt{2}}")),
+        F.concat(F.lit("\\sqrt{x+\\sqrt{"), gold, F.lit("}}")),
         F.when(F.col("seed") == 1, F.lit("\\sqrt{open \\sqrt{3} \\frac{4}")),
     )
     return runs(spark, sf_dir).select(*RUN_KEYS, text.alias("text"))

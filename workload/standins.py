@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 RUNS = """
 WITH b AS (
-  SELECT CASE l_returnflag WHEN 'A' THEN 'base' WHEN 'N' THEN 'lowtemp' ELSE 'power_mh' END AS method,
-         CAST(l_linenumber % 3 AS INT) AS seed,
+  SELECT CASE WHEN l_partkey % 89 = 7 THEN NULL WHEN l_returnflag = 'A' THEN 'base' WHEN l_returnflag = 'N' THEN 'lowtemp'
+              ELSE 'power_mh' END AS method,
+         CASE WHEN l_partkey % 97 = 3 THEN NULL ELSE CAST(l_linenumber % 3 AS INT) END AS seed,
          CAST(l_suppkey % 4 + 1 AS INT) AS n_mcmc,
+         l_partkey % 83 = 5 AS no_completion, l_partkey % 79 = 11 AS no_gold,
          concat('test/algebra/', CAST(l_partkey AS STRING), '.json') AS example_id,
          CAST(l_partkey % 5 AS INT) AS fmt, l_linenumber AS shape,
          CAST(l_partkey % 50 + 1 AS STRING) AS g,
          CAST(l_partkey % 50 + 1 + CASE WHEN l_suppkey % 3 = 0 THEN 1 ELSE 0 END AS STRING) AS v
   FROM lineitem),
 f AS (
-  SELECT method, seed, n_mcmc, example_id, shape,
-    CASE fmt WHEN 0 THEN g
+  SELECT method, seed, n_mcmc, example_id, shape, no_completion,
+    CASE WHEN no_gold THEN NULL ELSE CASE fmt WHEN 0 THEN g
              WHEN 1 THEN concat(chr(92), 'frac{', g, '}{7}')
              WHEN 2 THEN concat(chr(92), 'left( ', g, ', ', chr(92), 'frac{', chr(92), 'pi}{2} ', chr(92), 'right)')
              WHEN 3 THEN concat(chr(92), 'text{Name', chr(64 + CAST(g AS INT) % 26 + 1), '}')
-             ELSE concat(g, '.0') END AS gold,
+             ELSE concat(g, '.0') END END AS gold,
     CASE fmt WHEN 0 THEN concat('$', v, '$')
              WHEN 1 THEN concat(chr(92), 'frac{', v, '}{7}')
              WHEN 2 THEN concat('(', v, ',', chr(92), 'frac{', chr(92), 'pi}{2})')
@@ -35,14 +37,14 @@ f AS (
              ELSE v END AS ans
   FROM b)
 SELECT method, seed, n_mcmc, example_id, gold,
-  CASE shape
+  CASE WHEN no_completion THEN NULL ELSE CASE shape
     WHEN 1 THEN concat('Step one.', chr(10), 'So ', chr(92), 'boxed{', ans, '}.')
     WHEN 2 THEN concat(chr(92), 'boxed{0} then ', chr(92), 'fbox{', ans, '} done')
     WHEN 3 THEN concat('So ', chr(92), 'boxed{', ans, '} and ', chr(92), 'boxed{', ans)
     WHEN 4 THEN concat('Work.', chr(10), 'Final answer: ', ans, chr(10), 'bye')
     WHEN 5 THEN concat('Work', chr(10), '#### ', ans)
     WHEN 6 THEN concat('Work', chr(10), chr(10), ans, chr(10))
-    ELSE '' END AS completion
+    ELSE '' END END AS completion
 FROM f
 """
 
@@ -115,15 +117,26 @@ SELECT CAST(floor(vec_id / 10) AS BIGINT) AS seq_id, CAST(vec_id % 10 AS INT) AS
 FROM embeddings
 """
 
-# One chain per user, four steps to a value range, steps in event order.
+# One chain per user, one block to 2,500 events, steps in event order.  Most steps
+# are decided by their proposal ratio, the others propose the state they are in, so
+# the state that is carried is known: three of four steps log it, one is off.
 MH_STEPS = """
-SELECT user_id AS chain_id, CAST(floor(event_id / 2500) AS BIGINT) AS block, event_id AS step,
-       CAST(4.0 AS DOUBLE) AS alpha, -value AS prop_logp,
-       -value - CAST(event_id % 21 - 10 AS DOUBLE) / 4 AS cur_logp,
-       CAST(-(event_id % 13) AS DOUBLE) / 4 AS logq_old,
-       CAST(-(event_id % 7) AS DOUBLE) / 4 AS logq_new,
-       CAST(event_id % 97 + 1 AS DOUBLE) / 98 AS u
-FROM events
+WITH e AS (
+  SELECT user_id AS chain_id, CAST(floor(event_id / 2500) AS BIGINT) AS block, event_id AS step, -value AS v,
+         event_id % 5 = 0 AS stays, event_id % 3 <> 0 AS takes
+  FROM events),
+c AS (
+  SELECT *, coalesce(last_value(CASE WHEN takes AND NOT stays THEN v END{inside}){outside} OVER (
+      PARTITION BY chain_id, block ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+      CAST(-(chain_id % 7) AS DOUBLE)) AS carried
+  FROM e)
+SELECT chain_id, block, step, CAST(4.0 AS DOUBLE) AS alpha,
+       CASE WHEN stays THEN carried ELSE v END AS prop_logp,
+       CASE WHEN step % 4 = 1 THEN carried + 0.5 ELSE carried END AS cur_logp,
+       CASE WHEN stays THEN CAST(-(step % 13) AS DOUBLE) / 4 WHEN takes THEN 100000.0 ELSE -100000.0 END AS logq_old,
+       CAST(-(step % 7) AS DOUBLE) / 4 AS logq_new,
+       CASE WHEN step % 97 = 0 AND (takes OR stays) THEN 0.0 ELSE CAST(step % 97 + 1 AS DOUBLE) / 98 END AS u
+FROM c
 """
 
 TABLES = ("lineitem", "documents", "orders", "embeddings", "events", "conversations", "part")
@@ -165,4 +178,4 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mh_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_files(spark, MH_STEPS, sf_dir)
+    return from_files(spark, MH_STEPS.format(inside="", outside=" IGNORE NULLS"), sf_dir)
