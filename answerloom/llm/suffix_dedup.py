@@ -114,7 +114,8 @@ class Anchors:
         self.at = chosen[first]
         self.low = valid[first]
         self.high = valid[np.r_[first[1:], len(valid)] - 1]
-        self.names = names[self.at]
+        # Anchors have the least names of their strings; mixed again, names spread evenly over the ranges.
+        self.names = _mix(names[self.at] + np.uint64(_BASE))
 
     def moved(self, by: int) -> Anchors:
         self.at, self.low, self.high = self.at + by, self.low + by, self.high + by
