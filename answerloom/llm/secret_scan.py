@@ -83,7 +83,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
             moves = F.zip_with(F.slice(g, F.lit(1), F.size(l)), l, lambda a, b: a + b)
             return F.transform(
                 F.arrays_zip(
-                    _let(moves, running_sum).alias("before"), g.alias("gap"), l.alias("len"),
+                    _let(moves, lambda m: running_sum(m)).alias("before"), g.alias("gap"), l.alias("len"),
                     F.regexp_extract_all(text, regex, F.lit(group)).alias("value"),
                 ),
                 lambda z: F.struct(
