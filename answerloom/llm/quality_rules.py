@@ -1,10 +1,15 @@
 """Quality by weak supervision: rules vote or abstain, and a posterior decides.
 
 Every rule votes good (1), bad (-1) or abstains (0).  Expectation-maximisation
-over the counts of vote patterns estimates how often each rule is right about
-good and about bad documents and how many documents are good; the posterior
-probability then replaces "all rules must pass".  There are at most
-``3 ** len(RULES)`` patterns, however many documents vote.
+over the counts of vote patterns estimates how often each rule is right when it
+votes and how many documents are good; the posterior probability then replaces
+"all rules must pass".  There are at most ``3 ** len(RULES)`` patterns, however
+many documents vote.
+
+A kind of junk shows in a few rules only, so rules abstain where they see nothing
+instead of voting good, and each kind is seen by two rules or more, which bear
+each other out.  Accuracies are smoothed towards ``START``: a rule that hardly any
+other overlaps keeps about the accuracy that it was given.
 """
 
 from __future__ import annotations
@@ -18,9 +23,14 @@ from pyspark.sql import functions as F
 from answerloom.llm.common import land, words
 
 SYMBOLS = "#*$%&|<>"
-RULES = ("length", "symbols", "repeats", "word_length", "lines", "upper_case", "sentence_ends", "bars")
-#: Where EM starts: accuracy of each rule and share of good documents.
-START = 0.8
+RULES = (
+    "symbols", "symbol_words", "upper_case", "exclamations", "bars", "sentence_ends", "repeats", "repeated_lines", "prose",
+)
+#: Where EM starts: accuracy of each rule, which it is smoothed towards as well, and share of good documents.
+START = 0.9
+START_GOOD = 0.7
+#: Weight of the smoothing, in votes for each vote that was cast.
+SMOOTHING = 0.5
 ROUNDS = 15
 #: Estimates keep this far from certainty.
 MARGIN = 0.01
@@ -119,74 +129,75 @@ def counts(docs: DataFrame) -> DataFrame:
         .withColumn("n_repeat_words", repeat_words(F.col("_words")))
         .withColumn("n_upper", F.char_length(F.regexp_replace(text, "[^A-Z]+", "")).cast("long"))
         .withColumn("n_lower", F.char_length(F.regexp_replace(text, "[^a-z]+", "")).cast("long"))
-        .withColumn("n_ends", F.regexp_count(text, F.lit(r"[.?!]")).cast("long"))
+        .withColumn("n_ends", F.regexp_count(text, F.lit(r"[.?]")).cast("long"))
+        .withColumn("n_exclamations", F.regexp_count(text, F.lit("!")).cast("long"))
+        .withColumn("n_symbol_words", F.size(F.filter("_words", lambda w: F.rlike(w, F.lit(r"[#*$%&|<>]")))).cast("long"))
         .withColumn("n_bars", F.regexp_count(text, F.lit(r"\|")).cast("long"))
         .drop("_words", "_lines")
     )
 
 
 def votes() -> list[Column]:
-    """The vote of every rule; all abstain on a text without a word."""
+    """The vote of every rule in the order of ``RULES``; all abstain on a text without a word."""
     n = F.col("n_words")
+    letters = F.col("n_upper") + F.col("n_lower")
 
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(n == 0, 0).when(good, 1).when(bad, -1).otherwise(0).cast("int")
+    def bad(seen: Column) -> Column:
+        return F.when((n > 0) & seen, -1).otherwise(0).cast("int")
 
-    letters = F.col("n_upper") + F.col("n_lower")
+    prose = (
+        (F.col("n_symbols") * 100 < n) & (F.col("n_upper") * 5 < letters) & (F.col("n_exclamations") * 20 < n)
+        & (F.col("n_repeat_words") * 10 < n) & F.col("n_ends").between(n / 60, n / 2)
+        & F.col("word_chars").between(n * 2, n * 14)
+    )
     return [
-        vote(n >= 100, n < 50),
-        vote(F.col("n_symbols") * 100 < n, F.col("n_symbols") * 10 > n),
-        vote(F.col("n_repeat_words") * 10 < n, F.col("n_repeat_words") * 10 > n * 3),
-        vote(F.col("word_chars").between(n * 3, n * 10), (F.col("word_chars") < n * 2) | (F.col("word_chars") > n * 14)),
-        vote(F.col("n_dup_lines") == 0, F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
-        vote(F.col("n_upper") * 10 < letters * 2, F.col("n_upper") * 10 > letters * 5),
-        vote(F.col("n_ends").between(n / 40, n / 2), (F.col("n_ends") * 100 < n) | (F.col("n_ends") * 10 > n * 8)),
-        vote(F.col("n_bars") * 100 < n, F.col("n_bars") * 10 > n * 3),
+        bad(F.col("n_symbols") * 10 > n),
+        bad(F.col("n_symbol_words") * 5 > n),
+        bad(F.col("n_upper") * 2 > letters),
+        bad(F.col("n_exclamations") * 5 > n),
+        bad(F.col("n_bars") * 10 > n * 3),
+        bad(F.col("n_ends") * 60 < n),
+        bad(F.col("n_repeat_words") * 10 > n * 3),
+        bad(F.col("n_dup_lines") * 2 > F.col("n_lines")),
+        F.when((n > 0) & prose, 1).otherwise(0).cast("int"),
     ]
 
 
-def posterior(prior: float, right: list[tuple[float, float]], at=lambda j: F.get("votes", F.lit(j))) -> Column:
-    """Probability of a good document, given its votes and (accuracy on good, accuracy on bad) for each rule."""
-    def weight(vote: Column, good: float, bad: float) -> Column:
-        return (
-            F.when(vote == 1, math.log(good / (1 - bad))).when(vote == -1, math.log((1 - good) / bad)).otherwise(0.0)
-        )
-
+def posterior(prior: float, right: list[float], at=lambda j: F.get("votes", F.lit(j))) -> Column:
+    """Probability of a good document, given its votes and the accuracy of each rule."""
     odds = reduce(
         lambda a, b: a + b,
-        (weight(at(j), good, bad) for j, (good, bad) in enumerate(right)),
+        (at(j).cast("double") * math.log(accuracy / (1 - accuracy)) for j, accuracy in enumerate(right)),
         F.lit(math.log(prior / (1 - prior))),
     )
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, rules: int = len(RULES), rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
-    """EM over ``patterns`` (votes, n): share of good documents, and for each rule its two accuracies.
+def estimate(
+    patterns: DataFrame, rules: int = len(RULES), rounds: int = ROUNDS, smoothing: float = SMOOTHING
+) -> tuple[float, list[float]]:
+    """EM over ``patterns`` (votes, n): share of good documents, and the accuracy of each rule where it votes.
 
     A round is one aggregate of the pattern table to one row.  Without any vote
     the start values stay.
     """
-    prior, right = START, [(START, START)] * rules
+    prior, right = START_GOOD, [START] * rules
 
-    def kept(part, whole, before: float) -> float:
-        return min(1 - MARGIN, max(MARGIN, part / whole)) if whole else before
+    def kept(value: float) -> float:
+        return min(1 - MARGIN, max(MARGIN, value))
 
     for _ in range(rounds):
-        good = F.col("n") * F.col("good")
-        bad = F.col("n") * (1 - F.col("good"))
-        sums = [F.sum(good).alias("good"), F.sum("n").alias("n")]
+        sums = [F.sum(F.col("n") * F.col("good")).alias("good"), F.sum("n").alias("n")]
         for j in range(rules):
             vote = F.get("votes", F.lit(j))
-            sums += [
-                F.sum(F.when(vote == 1, good)).alias(f"gg{j}"), F.sum(F.when(vote != 0, good)).alias(f"g{j}"),
-                F.sum(F.when(vote == -1, bad)).alias(f"bb{j}"), F.sum(F.when(vote != 0, bad)).alias(f"b{j}"),
-            ]
+            agree = F.when(vote == 1, F.col("good")).when(vote == -1, 1 - F.col("good"))
+            sums += [F.sum(F.col("n") * agree).alias(f"a{j}"), F.sum(F.when(vote != 0, F.col("n"))).alias(f"v{j}")]
         row = patterns.withColumn("good", posterior(prior, right)).agg(*sums).first()
         if not row["n"]:
             break
-        prior = kept(row["good"], row["n"], prior)
+        prior = kept(row["good"] / row["n"])
         right = [
-            (kept(row[f"gg{j}"] or 0.0, row[f"g{j}"], right[j][0]), kept(row[f"bb{j}"] or 0.0, row[f"b{j}"], right[j][1]))
+            kept((row[f"a{j}"] / row[f"v{j}"] + smoothing * START) / (1 + smoothing)) if row[f"v{j}"] else right[j]
             for j in range(rules)
         ]
     return prior, right

@@ -54,26 +54,27 @@ def test_repeats_with_clashing_short_hashes(spark, monkeypatch):
 
 def test_estimates_recover_accuracies(spark):
     """Votes drawn from known accuracies; the estimate must come close to them and to the share of good documents."""
-    prior, right = 0.7, [(0.9, 0.8), (0.75, 0.95), (0.85, 0.85), (0.6, 0.9)]
+    prior, right = 0.7, [0.9, 0.75, 0.85, 0.8, 0.95]
     patterns = []
-    for k in range(2**4):
-        votes = [1 if k >> j & 1 else -1 for j in range(4)]
-        good = math.prod(g if v == 1 else 1 - g for v, (g, _) in zip(votes, right))
-        bad = math.prod(b if v == -1 else 1 - b for v, (_, b) in zip(votes, right))
-        patterns.append((votes, round(1e6 * (prior * good + (1 - prior) * bad))))
+    for code in range(3**5):
+        votes = [code // 3**j % 3 - 1 for j in range(5)]
+        cast = [(v, a) for v, a in zip(votes, right) if v]
+        share = 0.8 ** len(cast) * 0.2 ** (5 - len(cast))
+        good = math.prod(a if v == 1 else 1 - a for v, a in cast)
+        bad = math.prod(a if v == -1 else 1 - a for v, a in cast)
+        patterns.append((votes, round(1e7 * share * (prior * good + (1 - prior) * bad))))
     df = spark.createDataFrame(patterns, "votes array<int>, n long")
-    got_prior, got = rules.estimate(df, rules=4, rounds=80)
-    assert got_prior == pytest.approx(prior, abs=0.03)
-    for (g, b), (wg, wb) in zip(got, right):
-        assert g == pytest.approx(wg, abs=0.03) and b == pytest.approx(wb, abs=0.03)
+    got_prior, got = rules.estimate(df, rules=5, rounds=60, smoothing=0.0)
+    assert got_prior == pytest.approx(prior, abs=0.02)
+    assert got == pytest.approx(right, abs=0.02)
 
 
 def test_posterior_formula(spark):
-    right = [(0.9, 0.8), (0.7, 0.6)]
+    right = [0.9, 0.7]
     df = spark.createDataFrame([([1, -1],), ([0, 0],), ([-1, 1],)], "votes array<int>")
     got = [r.p for r in df.select(rules.posterior(0.6, right).alias("p")).collect()]
     odds = lambda a: 0.6 * a[0] / (0.6 * a[0] + 0.4 * a[1])
-    assert got == pytest.approx([odds((0.9 * 0.3, 0.2 * 0.6)), 0.6, odds((0.1 * 0.7, 0.8 * 0.4))])
+    assert got == pytest.approx([odds((0.9 * 0.3, 0.1 * 0.7)), 0.6, odds((0.1 * 0.7, 0.9 * 0.3))])
 
 
 def test_junk_goes_and_prose_stays(spark):
