@@ -199,11 +199,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int =
     return prints.join(classes(prints, distance), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class one, with the smallest doc_id."""
+def keep_first(docs: DataFrame, classed: DataFrame) -> DataFrame:
+    """Of each class of ``classed`` (doc_id, text_hash, root, component_id) the row of ``docs`` with the smallest doc_id."""
     chosen = (
-        near_duplicates(docs, size, distance)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        classed.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("_kept"))
         .select(F.col("_kept.doc_id").alias("_id"), F.col("_kept.text_hash").alias("_hash"))
@@ -213,6 +212,11 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANC
     return hashed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
 
 
+def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class one, with the smallest doc_id."""
+    return keep_first(docs, near_duplicates(docs, size, distance))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id."""
     return near_duplicates(docs).select(
