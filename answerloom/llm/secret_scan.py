@@ -1,6 +1,7 @@
 """Secret scans: fixed forms, and a battery of randomness tests for everything else.
 
-Every run of 20 or more characters of a token alphabet is tested.  Its encoding
+Every run of 20 or more characters of a token alphabet is tested; where fixed
+forms lie in it, what they leave of it, if that has 20 or more.  Its encoding
 is inferred from the kinds of characters it holds.  A chi-squared test of
 uniformity over that alphabet, a runs test and a lag-1 serial correlation test
 say whether the run looks random; how improbable its evenness would be for
@@ -27,6 +28,7 @@ KINDS = (
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 ADDED = "random"
+LEAST = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Chance that two letters of running text agree (index of coincidence).
 LANGUAGE_MATCH = 0.066
@@ -137,6 +139,7 @@ def alphabet_size(token: Column) -> Column:
     return (
         F.when(F.rlike(token, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")) & F.rlike(token, F.lit("[a-fA-F]")), 16)
         .when(F.rlike(token, F.lit("^[A-Z2-7]+=*$")) & F.rlike(token, F.lit("[2-7]")), 32)
+        .when(F.rlike(token, F.lit("^[+/_=-]+$")), 5)
         .otherwise(kinds)
         .cast("double")
     )
@@ -203,7 +206,29 @@ def judged(b: Column) -> Column:
     return F.struct(
         b["n"].alias("n"),
         F.greatest(upper_tail(z_text), F.lit(1e-30)).alias("p"),
-        ((b["size"] > 10) & (b["size"] != 26) & (3 * rejects >= BATTERY_LEVEL)).alias("random"),
+        (3 * rejects >= BATTERY_LEVEL).alias("random"),
+    )
+
+
+def left_over(run: Column, spans: Column) -> Column:
+    """What ``spans`` leave of a run: pieces of ``LEAST`` or more characters, as (start, end, value)."""
+    first = F.struct(run["start"].alias("at"), F.slice(F.array(run), 1, 0).alias("out"))
+
+    def with_piece(a: Column, end: Column) -> Column:
+        piece = F.struct(
+            a["at"].alias("start"), end.alias("end"), F.substring(run["value"], a["at"] - run["start"] + 1, end - a["at"]).alias("value")
+        )
+        return F.when(end - a["at"] >= LEAST, F.array_append(a["out"], piece)).otherwise(a["out"])
+
+    def step(a: Column, b: Column) -> Column:
+        return F.struct(F.greatest(a["at"], b["end"]).alias("at"), with_piece(a, b["start"]).alias("out"))
+
+    touching = F.array_sort(F.filter(spans, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    return _let(
+        touching,
+        lambda t: F.when(F.size(t) == 0, F.array(run)).otherwise(
+            F.aggregate(t, first, step, lambda a: with_piece(a, run["end"]))
+        ),
     )
 
 
@@ -213,10 +238,7 @@ def scan(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", text.alias("_text")).select(
         "doc_id", base_spans(F.col("_text")).alias("base"), matches(F.col("_text"), CANDIDATE).alias("_runs")
     )
-    outside = F.filter(
-        F.col("_runs"),
-        lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
+    outside = F.flatten(F.transform("_runs", lambda r: left_over(r, F.col("base"))))
     tested = F.transform(
         outside,
         lambda r: _let(

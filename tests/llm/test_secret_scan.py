@@ -86,5 +86,26 @@ def test_running_sum_over_chunks(spark):
     assert row[0].s == [sum(numbers[:k]) for k in range(len(numbers))] and row[1].s == []
 
 
+def test_random_runs_of_one_kind_of_character(spark):
+    pick = random.Random(3)
+    kinds = [string.ascii_lowercase, string.ascii_uppercase]  # 24 digits are a hex form already
+    rows = [(10 * k + j, f"see {''.join(pick.choices(kind, k=300))} there") for k, kind in enumerate(kinds) for j in range(5)]
+    got = {r.doc_id: r.added for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(len(kinds)):
+        assert sum([(s["start"], s["end"]) for s in got[10 * k + j]] == [(4, 304)] for j in range(5)) >= 4
+
+
+def test_random_runs_beside_fixed_forms(spark):
+    pick = random.Random(6)
+    hexes, access = "deadbeef" * 3, "AKIA" + "Z9" * 8
+    rows, want = [], {}
+    for k in range(8):
+        a, b = ("".join(pick.choices(string.ascii_letters + string.digits, k=60)) for _ in range(2))
+        rows.append((k, f"\u00e9 {a}-{hexes}_{access}/{b}/{hexes}-short"))
+        want[k] = [(2, 63), (108, 170)]  # with the signs that join them
+    got = {r.doc_id: r.added for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum([(s["start"], s["end"]) for s in got[k]] == want[k] for k in want) >= 6
+
+
 def test_empty(spark):
     assert secret_scan.digest(cases.empty(spark)).collect() == []
