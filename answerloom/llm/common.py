@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
@@ -48,3 +48,40 @@ def land(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spare_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as keep it clear of ``columns`` (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[Column], out: str, total: str, name: str) -> DataFrame:
+    """Add the 0-based place ``out`` of each row in its group, and the group's rows as ``total``.
+
+    The rows are range-partitioned by group and order, sorted and written; a
+    row's place is its place in its partition plus the group's rows in earlier
+    ones.  So a group may span any number of tasks, and only one row for each
+    group and partition is counted.  NULL is a group like any other.
+    """
+    keys = [*map(F.col, group), *order]
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else rows
+    placed = land(sorted_rows.withColumns({"_part": F.spark_partition_id(), "_row": place}), name)
+    counts = placed.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *(F.col(g).alias(f"_of_{g}") for g in group),
+        F.col("_part").alias("_of_part"),
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_rows").over(whole).alias(total),
+    )
+    same = F.col("_part") == F.col("_of_part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return placed.join(offsets, same).withColumn(out, F.col("_row") + F.col("_shift")).drop(
+        "_part", "_row", "_of_part", "_shift", *(f"_of_{g}" for g in group)
+    )

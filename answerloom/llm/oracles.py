@@ -51,4 +51,102 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM coded
 """
 
-ORACLES = {"op2_mix_sources": MIX_SOURCES, "op6_warc": WARC_PAGES}
+
+def _crc_table() -> str:
+    """The 256 steps of CRC-32, as a list."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return f"{table}::BIGINT[]"
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of ``text``, byte by byte."""
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    values = f"list_transform({pairs}, lambda p: CAST(concat('0x', p) AS BIGINT))"
+    step = f"lambda c, b: xor(c >> 8, ({_crc_table()})[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {values}), {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(concat(" + ", ".join(
+        f"coalesce(concat(strlen(CAST({x} AS VARCHAR)), ':', CAST({x} AS VARCHAR)), '-')" for x in fields
+    ) + "))"
+
+
+def _levels(name: str, base: str) -> str:
+    """All levels above the nodes ``base`` (g, idx, n, d), and each node's siblings to its left and right."""
+    return f"""
+{name}(level, g, idx, n, d) AS (
+  SELECT 0, g, idx, n, d FROM {base}
+  UNION ALL
+  SELECT level + 1, g, idx // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY idx)) FROM {name}
+  WHERE n > 1 GROUP BY level, g, idx // 8, n),
+{name}_runs AS (SELECT level, g, idx // 8 AS up, list(d ORDER BY idx) AS run FROM {name} WHERE n > 1 GROUP BY ALL),
+{name}_steps AS (
+  SELECT t.level, g, idx, array_to_string(run[:idx % 8], '') AS before, array_to_string(run[idx % 8 + 2:], '') AS behind
+  FROM {name} t JOIN {name}_runs r USING (level, g) WHERE t.n > 1 AND r.up = t.idx // 8)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_leaf('text')} AS leaf,
+    CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+         THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS altered FROM documents)),
+bottom AS (SELECT g, idx, n, leaf AS d FROM leaves),
+{_levels('lower_tree', 'bottom')},
+subroots AS (SELECT 0 AS g, g AS idx, count(*) OVER () AS n, d FROM lower_tree WHERE n = 1),
+{_levels('upper_tree', 'subroots')},
+steps AS (
+  SELECT l.g, l.idx, 0 AS tree, s.level, s.before, s.behind FROM leaves l JOIN lower_tree_steps s
+    ON s.g = l.g AND s.idx = l.idx // CAST(pow(8, s.level) AS BIGINT)
+  UNION ALL
+  SELECT l.g, l.idx, 1, s.level, s.before, s.behind FROM leaves l JOIN upper_tree_steps s ON s.idx = l.g // CAST(pow(8, s.level) AS BIGINT)),
+ways AS (
+  SELECT g, idx, sha256(string_agg(concat(before, behind), '' ORDER BY tree, level)) AS proof,
+    list(concat(before, '|', behind) ORDER BY tree, level) AS way FROM steps GROUP BY g, idx),
+folded AS (
+  SELECT l.*, coalesce(proof, sha256('')) AS proof_sha256,
+    list_reduce(coalesce(way, []), lambda node, step: sha256(replace(step, '|', node)), coalesce(altered, leaf)) AS folded_root
+  FROM leaves l LEFT JOIN ways USING (g, idx))
+SELECT doc_id, leaf, s.d AS subroot, r.d AS root, proof_sha256, folded_root, folded_root = r.d AS verified
+FROM folded f JOIN subroots s ON s.idx = f.g JOIN (SELECT d FROM upper_tree WHERE n = 1) r ON true
+"""
+
+# Every n-gram of a table counts; each different one is hashed once.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+RESAMPLE = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS nr, {_WORDS} AS w FROM documents),
+tests AS (SELECT {_WORDS} AS w FROM benchmark),
+grams AS (
+  SELECT nr, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])),
+    list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])))) AS gram
+  FROM (SELECT nr, w FROM docs UNION ALL SELECT NULL, w FROM tests)),
+buckets AS (SELECT gram, {crc32("gram")} % 10000 AS bucket FROM (SELECT DISTINCT gram FROM grams)),
+counts AS (
+  SELECT bucket, CAST(count(nr) AS DOUBLE) AS s, CAST(count(*) - count(nr) AS DOUBLE) AS t
+  FROM grams JOIN buckets USING (gram) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts),
+sums AS (
+  SELECT nr, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM grams JOIN buckets USING (gram) JOIN gains USING (bucket) WHERE nr IS NOT NULL GROUP BY nr),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(concat('0x', sha256(concat('42:', coalesce(CAST(doc_id AS VARCHAR), '')))[:8]) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN sums USING (nr)),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    count(*) FILTER (WHERE n_words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM drawn
+"""
+
+ORACLES = {
+    "op2_mix_sources": MIX_SOURCES, "op6_warc": WARC_PAGES, "op11_merkle_manifest": MERKLE, "op13_importance_resample": RESAMPLE,
+}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from answerloom.llm import (
-    decontaminate, license_scan, mixing, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup, warc,
+    decontaminate, license_scan, merkle, mixing, quality_model, quality_rules, resample, secret_scan, sharding, simhash,
+    suffix_dedup, token_blocks, warc,
 )
 
 
@@ -55,10 +56,25 @@ def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_blocks.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_mix_sources, op3_simhash_near_dedup, op4_secret_scan, op5_quality_rules, op6_warc,
-        op7_suffix_dedup, op8_license_scan, op9_quality_classifier, op10_shard_tree,
+        op7_suffix_dedup, op8_license_scan, op9_quality_classifier, op10_shard_tree, op11_merkle_manifest, op12_token_blocks,
+        op13_importance_resample,
     )
 }
