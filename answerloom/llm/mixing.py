@@ -3,11 +3,11 @@
 Each source is a line of tokens: its documents in seeded order, one behind the
 other, cut into blocks of ``block_words`` tokens.  Blocks are seats and sources
 are parties: the next seat always goes to the source with the highest quotient
-``target / (2 * seats + 1)``.  The first ``shard_blocks`` seats make shard 0 of
-the mix, the next ones shard 1, and so on; since more seats never take one away
-from a source, each shard's quota is the difference between two apportionments.
-A source then gives its next blocks in seeded order, and starts over at the end
-of its line.
+``target / (2 * seats + 1)``.  The seats make ``shards`` shards of the mix of equal
+size, the first ones shard 0, the next ones shard 1, and so on; since more seats
+never take one away from a source, each shard's quota is the difference between
+two apportionments.  A shard then takes its quota from each source as the next
+blocks of that line, which is in seeded order and starts over at its end.
 
 Nothing here walks seat by seat.  If ``n`` sources share ``h`` seats, the divisor
 lies within ``n / 2`` seats of ``h``, so all but about four seats of each source
@@ -25,6 +25,7 @@ from answerloom.llm.common import land, word_count
 WEIGHTS = (5, 2, 1)
 #: Hex digits of the seeded key that form a bucket: a bucket is what one task orders.
 BUCKET_DIGITS = 3
+ADDED = ("source_size", "weight", "target", "passes", "taken", "shards")
 
 
 def cycled_weights(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -88,18 +89,23 @@ def apportion(parties: DataFrame) -> DataFrame:
     return ranked.groupBy("house", "rank").agg((F.min("_sure") + won).alias("seats"))
 
 
-def shard_quotas(targets: DataFrame, block_words: int = 16, shard_blocks: int = 65536) -> DataFrame:
-    """Blocks that each shard of the mix takes from each source: shard, rank, quota, through (running total)."""
+def shard_quotas(targets: DataFrame, block_words: int = 16, shards: int = 64) -> DataFrame:
+    """Blocks that each shard of the mix takes from each source: shard, rank, quota, through (running total).
+
+    Shards have equally many blocks, but for the last that has any.
+    """
     blocks = F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long")
-    shards = F.sequence(F.lit(1), F.ceil(F.col("_blocks") / shard_blocks))
+    numbers = F.sequence(F.lit(1), F.ceil(F.col("_blocks") / F.col("_each")))
     parties = (
         targets.withColumn("_blocks", blocks)
         .filter("_blocks > 0")
-        .withColumn("houses", F.transform(shards, lambda k: F.least(k * shard_blocks, F.col("_blocks"))))
+        .withColumn("_each", F.ceil(F.col("_blocks") / shards))
+        .withColumn("houses", F.transform(numbers, lambda k: F.least(k * F.col("_each"), F.col("_blocks"))))
     )
+    seats = apportion(parties.drop("_blocks", "_each"))
     earlier = F.lag("seats", 1, 0).over(Window.partitionBy("rank").orderBy("house"))
-    return apportion(parties).select(
-        (F.ceil(F.col("house") / shard_blocks) - 1).alias("shard"),
+    return seats.select(
+        (F.dense_rank().over(Window.partitionBy("rank").orderBy("house")) - 1).alias("shard"),
         "rank",
         (F.col("seats") - earlier).alias("quota"),
         F.col("seats").alias("through"),
@@ -113,15 +119,16 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
     block_words: int = 16,
-    shard_blocks: int = 65536,
+    shards: int = 64,
     seed: int = 7,
 ) -> DataFrame:
     """Add to each row of ``docs`` (doc_id, text, source) what the mix takes of it.
 
     Columns added: ``size`` (words of the text), ``source_size``, ``weight``,
     ``target`` (of its source), ``passes`` (how often a pass takes any of its
-    words) and ``taken`` (words taken, repeats counted).  Columns of these names
-    in ``docs`` are replaced, others kept.
+    words), ``taken`` (words taken, repeats counted) and ``shards`` (for each
+    pass the shard of the mix whose quota takes the first of these words).
+    Columns of these names in ``docs`` are replaced, others kept.
 
     NULL and empty texts have size 0 and are taken 0 times.  NULL is a source of
     its own, the last.  Repeated rows lie side by side and count each.  A tie in
@@ -130,10 +137,10 @@ def mix(
     never above ``cap`` times its size for ``cap`` a whole number.  An empty
     table stays empty.
     """
-    kept = [c for c in docs.columns if c not in {"size", "source_size", "weight", "target", "passes", "taken"}]
+    kept = [c for c in docs.columns if c not in {"size", *ADDED}]
     sized = docs.select(*kept, word_count(F.col("text")).alias("size")) if "text" in kept else docs
     return mix_sized(
-        sized, weights=weights, share=share, cap=cap, block_words=block_words, shard_blocks=shard_blocks, seed=seed
+        sized, weights=weights, share=share, cap=cap, block_words=block_words, shards=shards, seed=seed
     )
 
 
@@ -144,7 +151,7 @@ def mix_sized(
     share: float = 1.5,
     cap: float = 2.0,
     block_words: int = 16,
-    shard_blocks: int = 65536,
+    shards: int = 64,
     seed: int = 7,
 ) -> DataFrame:
     """``mix`` for rows that carry their ``size`` already."""
@@ -155,16 +162,17 @@ def mix_sized(
     )  # one row per source and bucket: at most 4,096 a source
     sizes = buckets.groupBy("source").agg(F.sum("_words").alias("source_size"))
     targets = land(capped_targets(cycled_weights(sizes, weights), share, cap), "mix-targets")
-    quotas = shard_quotas(targets, block_words, shard_blocks)
-    totals = quotas.groupBy("rank").agg((F.sum("quota") * block_words).alias("_budget"))
+    totals = shard_quotas(targets, block_words, shards).groupBy("rank").agg(
+        (F.sum("quota") * block_words).alias("_budget"), F.array_sort(F.collect_list("through")).alias("_through")
+    )  # ``shards`` running totals for each source
     plans = targets.join(totals, "rank", "left").select(
         F.col("source").alias("_source"), "source_size", "weight", "target",
-        F.coalesce("_budget", F.lit(0)).alias("_budget"),
+        F.coalesce("_budget", F.lit(0)).alias("_budget"), "_through",
     )
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.withColumn("_before", F.coalesce(F.sum("_words").over(before), F.lit(0)))
     starts = offsets.join(plans, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "_source", F.col("_bucket").alias("_in"), "_before", "source_size", "weight", "target", "_budget"
+        "_source", F.col("_bucket").alias("_in"), "_before", "source_size", "weight", "target", "_budget", "_through"
     )
     line = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1
@@ -188,19 +196,35 @@ def mix_sized(
     placed = placed.withColumn("_turns", turns).withColumn(
         "_rest", F.when(F.col("_turns") < F.lit(cap), overlap(F.col("_turns"))).otherwise(F.lit(0)).cast("long")
     )
-    kept = [c for c in sized.columns if c not in {"source_size", "weight", "target", "passes", "taken"}]
-    return placed.select(
+    passes = F.when(F.col("size") > 0, F.col("_turns") + (F.col("_rest") > 0).cast("long")).otherwise(F.lit(0))
+
+    def shard_of(turn: Column) -> Column:
+        """The shard with the block that holds the row's first word in this turn of the line."""
+        block = F.floor((turn * F.col("source_size") + F.col("_start")) / block_words)
+        return F.size(F.filter("_through", lambda through: through <= block))
+
+    turns_taken = F.when(F.col("passes") > 0, F.sequence(F.lit(0), F.col("passes") - 1)).otherwise(F.array().cast("array<bigint>"))
+    kept = [c for c in sized.columns if c not in ADDED]
+    return placed.withColumn("passes", passes).select(
         *kept,
         "source_size",
         "weight",
         "target",
-        F.when(F.col("size") > 0, F.col("_turns") + (F.col("_rest") > 0).cast("long")).otherwise(F.lit(0)).alias("passes"),
+        "passes",
         (F.col("_turns") * F.col("size") + F.col("_rest")).cast("long").alias("taken"),
+        F.transform(turns_taken, shard_of).alias("shards"),
     )
 
 
-def take(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: each document once for every pass that takes any of its words."""
-    return mixed.filter("passes > 0").select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("_pass")
-    ).select(*columns)
+def take(docs: DataFrame, shard: str | None = None, **settings: int | float) -> DataFrame:
+    """The mix itself: each row of ``docs`` (doc_id, text, source, ...) once for every pass that takes any of its words.
+
+    ``shard`` names a further column with the shard of the mix whose quota takes
+    the pass; ``settings`` as for ``mix``.  Rows come whole and as they are, with
+    columns of any name; a row that a budget ends in the middle of still comes.
+    NULL, empty and blank texts have nothing to take and go.  NULL is a source,
+    repeated rows come repeated, an empty table stays empty.
+    """
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct("*").alias("row"))
+    passes = mix_sized(rows, **settings).select("row", F.explode("shards").alias("at"))
+    return passes.select("row.*", *([F.col("at").alias(shard)] if shard else []))

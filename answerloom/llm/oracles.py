@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Seats are given out one by one here, in the order of their quotients.
+# Seats are given out one by one here, in the order of their quotients; 64 shards share them in that order.
 MIX_SOURCES = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
@@ -18,11 +18,11 @@ levels AS (
   WINDOW filled AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (SELECT source, source_size, rank, least(most, max(level) OVER () * weight) AS target FROM levels),
 seats AS (
-  SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS place
+  SELECT rank, k, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS place
   FROM targets, unnest(range(CAST(target / 16 AS BIGINT) + 20)) AS t(k) WHERE target > 0),
-budgets AS (
-  SELECT rank, 16 * count(*) AS budget FROM seats
-  WHERE place <= (SELECT round(sum(target) / 16) FROM targets) GROUP BY rank),
+house AS (SELECT CAST(round(sum(target) / 16) AS BIGINT) AS blocks FROM targets),
+won AS (SELECT rank, k, CAST((place - 1) // CAST(ceil(blocks / 64) AS BIGINT) AS INT) AS shard FROM seats, house WHERE place <= blocks),
+budgets AS (SELECT rank, 16 * count(*) AS budget FROM won GROUP BY rank),
 placed AS (
   SELECT doc_id, source, size, coalesce(sum(size) OVER (
       PARTITION BY source ORDER BY md5(concat('7:', coalesce(CAST(doc_id AS VARCHAR), ''))), doc_id NULLS FIRST, size
@@ -30,8 +30,10 @@ placed AS (
   FROM sized)
 SELECT doc_id, size, source_size, target,
   CAST(greatest(0, least(size, coalesce(budget, 0) - start))
-     + greatest(0, least(size, coalesce(budget, 0) - source_size - start)) AS BIGINT) AS taken
+     + greatest(0, least(size, coalesce(budget, 0) - source_size - start)) AS BIGINT) AS taken,
+  CASE WHEN size > 0 THEN shard END AS first_shard
 FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LEFT JOIN budgets USING (rank)
+LEFT JOIN won ON won.rank = targets.rank AND won.k = start // 16
 """
 
 # Base32 by hand: five bits of the SHA-1 at a time.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from answerloom.llm import (
     decontaminate, license_scan, merkle, mixing, quality_model, quality_rules, resample, secret_scan, sharding, simhash,
@@ -20,7 +21,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", F.get("shards", F.lit(0)).alias("first_shard")
     )
 
 

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -67,25 +68,51 @@ def test_seats_one_by_one(spark):
 
 def test_shard_quotas_add_up(spark):
     targets = spark.createDataFrame([(0, 700.0), (1, 200.0), (2, 100.0)], "rank int, target double")
-    rows = mixing.shard_quotas(targets, block_words=1, shard_blocks=64).collect()
+    rows = mixing.shard_quotas(targets, block_words=1, shards=16).collect()
     per_shard = Counter()
     for r in rows:
         assert r.quota >= 0
         per_shard[r.shard] += r.quota
-    assert [per_shard[k] for k in range(16)] == [64] * 15 + [40]
+    assert [per_shard[k] for k in range(16)] == [63] * 15 + [55]
     last = {r["rank"]: r.through for r in rows if r.shard == 15}
     assert last == {0: 700, 1: 200, 2: 100}
 
 
 def test_take_repeats_documents(spark):
     docs = spark.createDataFrame([(k, "w " * 100, "a" if k < 2 else "b") for k in range(10)], "doc_id long, text string, source string")
-    mixed = mixing.mix(docs)
-    want = sum(r.passes for r in mixed.collect())
-    got = mixing.take(mixed, docs.columns)
-    assert got.columns == docs.columns and got.count() == want
-    assert {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()} == {
-        r.doc_id: r.passes for r in mixed.collect() if r.passes
-    }
+    mixed = mixing.mix(docs).collect()
+    got = mixing.take(docs, shard="part")
+    assert got.columns == [*docs.columns, "part"]
+    assert Counter((r.doc_id, r.part) for r in got.collect()) == Counter((r.doc_id, s) for r in mixed for s in r.shards)
+    assert all(len(r.shards) == r.passes for r in mixed)
+
+
+def test_shards_take_their_quotas(spark):
+    """Word by word: a shard's words of a source are its quota of blocks."""
+    docs = spark.createDataFrame(
+        [(k, "w " * (k % 37), "abc"[k % 3]) for k in range(400)], "doc_id long, text string, source string"
+    )
+    mixed = mixing.mix(docs, shards=5).collect()
+    targets = slow_targets({s: sum(r["size"] for r in mixed if r.source == s) for s in "abc"})
+    blocks = round(sum(targets.values()) / 16)
+    each = -(-blocks // 5)
+    through = [slow_seats([targets[s] for s in "abc"], min((k + 1) * each, blocks)) for k in range(5)]
+    for at, source in enumerate("abc"):
+        line = sorted(
+            (r for r in mixed if r.source == source), key=lambda r: hashlib.md5(f"7:{r.doc_id}".encode()).hexdigest()
+        )
+        start = 0
+        size = sum(r["size"] for r in line)
+        for r in line:
+            blocks_before = [(turn * size + start) // 16 for turn in range(r.passes)]
+            assert r.shards == [sum(t[at] <= b for t in through) for b in blocks_before]
+            start += r["size"]
+
+
+def test_take_keeps_columns_of_any_name(spark):
+    docs = cases.documents(spark).withColumnsRenamed({"leaks": "passes", "votes": "row", "taken": "shards", "bucket": "source_size"})
+    got = mixing.take(docs)
+    assert got.schema == docs.schema and set(map(str, got.collect())) <= set(map(str, docs.collect()))
 
 
 def test_no_documents_or_no_words(spark):
