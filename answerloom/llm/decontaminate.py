@@ -223,8 +223,11 @@ def leak_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` that cover no test, as they are."""
-    kept = docs.columns
-    named = docs.withColumnRenamed("leaks", "_own_leaks") if "leaks" in kept else docs
-    clean = leaks(named, benchmark, coverage).filter(F.size("leaks") == 0).drop("leaks")
-    return clean.withColumnRenamed("_own_leaks", "leaks").select(*kept)
+    """The rows of ``docs`` (text, ...) that cover no test of ``benchmark``, as they are.
+
+    NULL, empty and blank texts are clean.  Repeated rows stay or go together,
+    long texts are read whole, columns of any name stay, and an empty table or
+    benchmark changes nothing.
+    """
+    rows = docs.select("text", F.struct("*").alias("row"))
+    return leaks(rows, benchmark, coverage).filter(F.size("leaks") == 0).select("row.*")

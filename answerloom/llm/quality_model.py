@@ -251,8 +251,15 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, as they are."""
-    described = land(docs.select("doc_id", features(F.col("text")).alias("features")), "quality-features")
-    model = train(described, labels)
-    scored = docs.withColumn("_score", model.score(features(F.col("text"))))
-    return scored.filter(F.col("_score") >= threshold).drop("_score")
+    """The rows of ``docs`` (doc_id, text, ...) whose score reaches the threshold, as they are.
+
+    Fits on ``docs`` itself, as ``classify`` does; NULL, empty and blank texts
+    share one score, repeated rows stay or go together, and columns of any name
+    stay.  An empty table stays empty; without a trusted positive the score is
+    0.5 everywhere.  Texts, long ones too, are read once, and whole.
+    """
+    described = land(
+        docs.select("doc_id", features(F.col("text")).alias("features"), F.struct("*").alias("row")), "quality-features"
+    )
+    model = train(described.select("doc_id", "features"), labels)
+    return described.filter(model.score(F.col("features")) >= threshold).select("row.*")

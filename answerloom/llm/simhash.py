@@ -207,13 +207,21 @@ def keep_first(docs: DataFrame, classed: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("_kept"))
         .select(F.col("_kept.doc_id").alias("_id"), F.col("_kept.text_hash").alias("_hash"))
     )
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    return hashed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    # The row travels as one value, so no column of it can clash with those of the work.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class one, with the smallest doc_id."""
+    """The rows of ``docs`` (doc_id, text, ...) that stay: of each class one, with the smallest doc_id, as it is.
+
+    NULL, empty and blank texts are one class together with all that their
+    fingerprint zero links.  Rows that agree in doc_id and text are one row
+    afterwards; of rows that agree in doc_id alone the text's hash decides.  A
+    class without any doc_id keeps one row.  Long texts are read whole; columns
+    of any name stay; an empty table stays empty.
+    """
     return keep_first(docs, near_duplicates(docs, size, distance))
 
 
