@@ -45,8 +45,11 @@ BLOCK = 1024
 PERCENTILE = 0.9
 #: Blocks are packed this many at a time.
 TOGETHER = 256
-#: Text for one call of the tokenizer, and text for one file, in bytes.
-CALL_BYTES, FILE_BYTES = 1 << 18, 64 << 20
+#: Text encoded together, in characters, and text for one file, in bytes.
+CALL_CHARS, FILE_BYTES = 1 << 18, 64 << 20
+#: Stretches between spaces that a task remembers before it starts anew, those too long for it (from 1,024 bytes on
+#: different texts could be made to share a name), and bytes named at once.
+KNOWN, LONG, WINDOW = 1 << 20, 512, 1 << 20
 _FOOT, _HEAD = "<QQQQ8s", "<IIII"
 
 
@@ -100,6 +103,241 @@ def unpack(block: bytes) -> np.ndarray:
     return apart + np.uint32(least)
 
 
+class _Known:
+    """Numbers of 128-bit names, in the order of their first appearance: an open hash table over arrays."""
+
+    def __init__(self, room: int) -> None:
+        self.shift = np.uint64(64 - (2 * room - 1).bit_length())
+        slots = 1 << (64 - int(self.shift))
+        self.names = np.zeros((2, slots), np.uint64)
+        self.number = np.full(slots, -1, np.int32)
+        self.count = 0
+
+    def _slots(self, first: np.ndarray) -> np.ndarray:
+        return ((first * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The number of each name, -1 for those that have none."""
+        found = np.full(len(first), -1, np.int64)
+        slot, open_ = self._slots(first), np.arange(len(first))
+        while len(open_):
+            at = slot[open_]
+            number = self.number[at]
+            same = (self.names[0, at] == first[open_]) & (self.names[1, at] == second[open_]) & (number >= 0)
+            found[open_[same]] = number[same]
+            open_ = open_[~same & (number >= 0)]
+            slot[open_] = (slot[open_] + 1) & (len(self.number) - 1)
+        return found
+
+    def add(self, first: np.ndarray, second: np.ndarray) -> None:
+        """Number new names, all different, in their order."""
+        numbers = np.arange(self.count, self.count + len(first), dtype=np.int32)
+        self.count += len(first)
+        slot, open_ = self._slots(first), np.arange(len(first))
+        while len(open_):
+            at = slot[open_]
+            free = self.number[at] < 0
+            self.number[at[free]] = numbers[open_[free]]
+            won = free & (self.number[at] == numbers[open_])  # of several at one slot the last one written
+            self.names[0, at[won]], self.names[1, at[won]] = first[open_[won]], second[open_[won]]
+            open_ = open_[~won]
+            slot[open_] = (slot[open_] + 1) & (len(self.number) - 1)
+
+
+class _Names:
+    """128-bit names of stretches of a text, all from one pass over it: differences of prefix sums of weighted bytes."""
+
+    BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+
+    def __init__(self) -> None:
+        self.powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def _powers(self, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.powers or len(self.powers[0][0]) < length:
+            self.powers = []
+            for base in self.BASES:
+                both = []
+                for factor in (base, pow(base, -1, 1 << 64)):
+                    steps = np.full(length, factor, np.uint64)
+                    steps[0] = 1
+                    both.append(np.multiply.accumulate(steps))
+                self.powers.append((both[0], both[1]))
+        return self.powers
+
+    def of(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+        values = data.astype(np.uint64) + np.uint64(1)
+        names = []
+        for power, inverse in self._powers(len(data) + 1):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(values * power[: len(data)], out=sums[1:])
+            names.append((sums[stops] - sums[starts]) * inverse[starts])
+        # Low bits of such sums know little of far bytes; the length tells apart what ends alike.
+        names[1] ^= (stops - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+        return names
+
+
+def _white(data: np.ndarray, at: np.ndarray, back: bool) -> np.ndarray:
+    """Does a white space character end (``back``) or begin at these places? Both ends of ``data`` count as one."""
+    inside = (at >= 0) & (at < len(data))
+    byte = lambda k: np.where((at + k >= 0) & (at + k < len(data)), data[np.clip(at + k, 0, len(data) - 1)], 0x20)
+    a, b, c = (byte(-2), byte(-1), byte(0)) if back else (byte(0), byte(1), byte(2))
+    one = c if back else a
+    two = (b, c) if back else (a, b)
+    ascii_ = ((one >= 9) & (one <= 13)) | (one == 0x20) | ((one >= 0x1C) & (one <= 0x1F))
+    latin = (two[0] == 0xC2) & ((two[1] == 0x85) | (two[1] == 0xA0))
+    general = (a == 0xE2) & (
+        ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))
+    )
+    others = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+    return ~inside | ascii_ | latin | general | others
+
+
+def _among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which ``values`` are among ``few``, a sorted array."""
+    return few[np.minimum(np.searchsorted(few, values), len(few) - 1)] == values
+
+
+class Coder:
+    """Texts to ids: whole texts by a tokenizer file of the tokenizers library, without special tokens, and ``end``.
+
+    A byte-level pre-tokenizer never carries a token over a single space between
+    two other characters, so such a text is cut before each of them, and the
+    library encodes each different stretch once for as long as it is remembered.
+    Stretches are told apart by 128-bit names.  Other tokenizers get the texts as
+    they are.
+    """
+
+    def __init__(self, path: str, end: int) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.coder = Tokenizer.from_file(path)
+        self.end = np.array([end], np.uint32)
+        with open(path, encoding="utf-8") as file:
+            kind = json.load(file)
+        cut = kind.get("pre_tokenizer") or {}
+        added = kind.get("added_tokens") or []
+        self.spaced = (
+            cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+            and not kind.get("normalizer") and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        )
+        vocabulary = self.coder.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(self.coder.get_vocab_size(with_added_tokens=True), np.int64)  # of each id
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # a character stands for a byte
+        for token in added:
+            self.bytes[token["id"]] = len(token["content"].encode())
+        self.names = _Names()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Known(KNOWN)
+        self.ids = np.empty(1 << 16, np.uint32)  # of all stretches, one behind the other, with room to grow
+        self.starts = np.zeros(1, np.int64)
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remember(self, ids: np.ndarray, stops: np.ndarray) -> None:
+        """Ids of stretches that follow the last number, ending at ``stops`` of ``ids``."""
+        used = int(self.starts[-1])
+        if used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:used], np.empty(used + len(ids), np.uint32)])
+        self.ids[used : used + len(ids)] = ids
+        self.starts = np.concatenate([self.starts, used + stops])
+
+    def _learn(self, stretches: list[bytes], apart: np.ndarray) -> None:
+        """Encode new stretches, some hundred as one text: the bytes of its tokens tell where each begins.
+
+        Those marked ``apart`` would touch their neighbours and are encoded alone.
+        """
+        ids: list[np.ndarray] = [np.empty(0, np.uint32)] * len(stretches)
+        alone = np.flatnonzero(apart).tolist()
+        for k, found in zip(alone, self._plain([stretches[k].decode() for k in alone])):
+            ids[k] = found
+        joined = np.flatnonzero(~apart)
+        for first in range(0, len(joined), 512):
+            part = [stretches[k] for k in joined[first : first + 512]]
+            found = self._plain([b"".join(part).decode()])[0]
+            token_ends, stops = np.cumsum(self.bytes[found]), np.cumsum([len(w) for w in part])
+            upto = np.searchsorted(token_ends, stops, side="right")
+            if not np.array_equal(token_ends[upto - 1], stops):
+                raise ValueError("a token reaches over a space")
+            for k, a, b in zip(joined[first : first + 512].tolist(), [0, *upto.tolist()], upto.tolist()):
+                ids[k] = found[a:b]
+        self._remember(np.concatenate(ids), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+
+    def _numbers(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """The number of each stretch of ``raw``, new ones learned; stretches follow one another."""
+        low = int(starts[0])
+        data = np.frombuffer(raw, np.uint8, int(stops[-1]) - low, low)
+        first, second = self.names.of(data, starts - low, stops - low)
+        second[apart] ^= np.uint64(1)  # a stretch may be the same text with and without neighbours
+        found = self.known.find(first, second)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            order = missing[np.lexsort((second[missing], first[missing]))]
+            fresh = np.r_[True, (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])]
+            new = order[fresh]
+            found[order] = self.known.count + np.cumsum(fresh) - 1
+            self._learn([raw[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist())], apart[new])
+            self.known.add(first[new], second[new])
+        return found
+
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if not self.spaced:
+            return [np.concatenate([ids, self.end]) for ids in self._plain(texts)]
+        parts = [t.encode() for t in texts]
+        raw = b"".join(parts)
+        begins = np.cumsum([0, *map(len, parts)])
+        data = np.frombuffer(raw, np.uint8)
+        spaces = np.flatnonzero(data == 0x20)
+        spaces = spaces[~_white(data, spaces - 1, True) & ~_white(data, spaces + 1, False)]
+        # A space that ends its text has nothing behind it, one that begins it nothing before.
+        spaces = spaces[~_among(spaces, begins) & ~_among(spaces + 1, begins)]
+        starts = np.sort(np.concatenate([spaces, begins[:-1][np.diff(begins) > 0]]), kind="stable")
+        stops = np.r_[starts[1:], len(raw)]
+        apart = _among(starts, begins) | _among(stops, begins)  # the first and the last of a text
+        ids, sizes = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
+        at = 0
+        while at < len(starts):
+            if stops[at] - starts[at] > LONG:
+                found = self._plain([raw[starts[at] : stops[at]].decode()])[0]
+                ids.append(found)
+                sizes.append(np.array([len(found)]))
+                at += 1
+                continue
+            far = np.flatnonzero(stops[at:] - starts[at:] > LONG)
+            upto = min(int(np.searchsorted(stops, starts[at] + WINDOW)), at + int(far[0]) if len(far) else len(starts))
+            upto = max(upto, at + 1)
+            if self.known.count > KNOWN - (upto - at):
+                self._forget()
+            numbers = self._numbers(raw, starts[at:upto], stops[at:upto], apart[at:upto])
+            first = self.starts[numbers]
+            size = self.starts[numbers + 1] - first
+            behind = np.cumsum(size)
+            ids.append(self.ids[np.repeat(first - behind + size, size) + np.arange(int(behind[-1]))])
+            sizes.append(size)
+            at = upto
+        flat, cuts = np.concatenate(ids), np.cumsum(np.concatenate(sizes))
+        bounds = cuts[np.searchsorted(starts, begins)]
+        return [np.concatenate([flat[a:b], self.end]) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+
+
+def _together(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The texts in groups of about ``CALL_CHARS``, each with the place of its first; NULL is the empty text."""
+    group: list[str] = []
+    held = 0
+    for at, text in enumerate(texts):
+        group.append(text.as_py() or "")
+        held += len(group[-1])
+        if held >= CALL_CHARS:
+            yield at + 1 - len(group), group
+            group, held = [], 0
+    if group:
+        yield len(texts) - len(group), group
+
+
 class BlockFile:
     """Reads one file; ``ids(a, b)`` touches no block but those that hold ids from ``a`` up to ``b``."""
 
@@ -133,8 +371,13 @@ class BlockFile:
 
 
 class BlockSource(DataSource):
-    """``token_blocks``: writes rows (doc_id, packed_ids: ids as little-endian unsigned 32-bit integers) in the order in
-    which they come, a file for each partition; reads documents.  Options: ``path``; writing also ``percentile``."""
+    """``token_blocks``: writes rows in the order in which they come, a file for each partition, and reads documents.
+
+    Rows to write are (doc_id, packed_ids: ids as little-endian unsigned 32-bit
+    integers), or (doc_id, text) with the option ``tokenizer``, the path of a
+    tokenizer file that executors can read, and ``end``, the id that ends each
+    document.  Other options: ``path``; writing also ``percentile``.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -167,6 +410,19 @@ class BlockWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.job = options["path"], uuid.uuid4().hex
         self.percentile = float(options.get("percentile", PERCENTILE))
+        self.tokenizer, self.end = options.get("tokenizer"), int(options.get("end", 0))
+
+    def _rows(self, iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+        """doc_ids and ids of some documents at a time."""
+        coder = Coder(self.tokenizer, self.end) if self.tokenizer else None
+        for batch in iterator:
+            doc_ids = batch.column(batch.schema.get_field_index("doc_id"))
+            if coder:
+                for at, texts in _together(batch.column(batch.schema.get_field_index("text"))):
+                    yield doc_ids.slice(at, len(texts)), coder.encoded(texts)
+            else:
+                packed = batch.column(batch.schema.get_field_index("packed_ids"))
+                yield doc_ids, [np.frombuffer(p.as_buffer(), "<u4") for p in packed]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = _store(self.path)
@@ -188,12 +444,9 @@ class BlockWriter(DataSourceArrowWriter):
                     position += len(block)
                     starts.append(position)
 
-            for batch in iterator:
-                ids = batch.column(batch.schema.get_field_index("doc_id"))
-                packed = batch.column(batch.schema.get_field_index("packed_ids"))
+            for ids, rows in self._rows(iterator):
                 known.append(np.asarray(ids.is_valid().to_numpy(zero_copy_only=False), np.uint8))
                 doc_ids.append(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-                rows = [np.frombuffer(p.as_buffer(), "<u4") for p in packed]
                 lengths.append(np.array([len(r) for r in rows], "<u8"))
                 waiting = np.concatenate([waiting, *rows])
                 while len(waiting) >= BLOCK:
@@ -310,41 +563,26 @@ def register(spark: SparkSession) -> None:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
-    """doc_id, packed_ids of each row of ``docs`` (doc_id, text): the ids of the whole text and ``end``.
+    """doc_id, packed_ids of each row of ``docs`` (doc_id, text): the ids of the whole text and ``end``, for use without files.
 
-    ``tokenizer`` is the path of a tokenizer file that executors can read.  No
-    special token is added.  NULL is the empty text: ``end`` alone.
+    ``tokenizer`` is the path of a tokenizer file that executors can read.  NULL
+    is the empty text: ``end`` alone.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        coder = Tokenizer.from_file(tokenizer)
-        close = np.array([end], "<u4").tobytes()
-
-        def encoded(texts: list[str]) -> list[bytes]:
-            found = coder.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() + close for e in found]
-
+        coder = Coder(tokenizer, end)
         for batch in batches:
-            out: list[bytes] = []
-            texts: list[str] = []
-            held = 0
-            for text in batch.column("text"):
-                texts.append(text.as_py() or "")
-                held += len(texts[-1])
-                if held >= CALL_BYTES:
-                    out += encoded(texts)
-                    texts, held = [], 0
-            out += encoded(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "packed_ids"])
+            for at, texts in _together(batch.column("text")):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), pa.array([ids.astype("<u4").tobytes() for ids in coder.encoded(texts)], pa.binary())], ["doc_id", "packed_ids"]
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed_ids binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, packed_ids binary")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = 0, file_bytes: int = FILE_BYTES) -> None:
-    """Tokenize ``docs`` (doc_id BIGINT, text) into a new folder of block files, in ascending doc_id order.
+    """Write the ids of ``docs`` (doc_id BIGINT, text) to a new folder of block files, in ascending doc_id order.
 
     Texts are dealt out by ranges of doc_id, about ``file_bytes`` of them to a
     file, and become ids where they are written.  A NULL doc_id comes first;
@@ -355,7 +593,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = 0, file_
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = rows.repartitionByRange(int(size) // file_bytes + 1, "doc_id").sortWithinPartitions("doc_id", "text")
-    tokenize(spread, tokenizer, end).write.format("token_blocks").mode("append").save(path)
+    spread.write.format("token_blocks").mode("append").options(tokenizer=tokenizer, end=end).save(path)
 
 
 def read_tokens(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:

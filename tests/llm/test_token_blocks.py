@@ -61,6 +61,39 @@ def test_odd_documents(spark):
     assert Counter(map(tuple, got.collect())) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\n\r\x1c\x85\xa0\u3000abZ1٣.,'’<|>é東\u0301", max_size=40), max_size=6))
+def test_cut_texts_have_the_ids_of_whole_ones(texts):
+    texts = [*texts, "it's  a <|endoftext|> b\n\n c", "don't "]
+    coder = test_cut_texts_have_the_ids_of_whole_ones.coder
+    assert coder.spaced
+    for text, ids in zip(texts, coder.encoded(texts)):
+        assert ids.tolist() == tokens(text)
+
+
+test_cut_texts_have_the_ids_of_whole_ones.coder = token_blocks.Coder(PATH, 0)
+
+
+@pytest.mark.parametrize("window, long, known", [(1 << 20, 512, 1 << 20), (64, 512, 1 << 20), (50, 9, 1 << 20), (40, 30, 64)])
+def test_windows_long_stretches_and_forgetting_do_not_matter(monkeypatch, window, long, known):
+    for name, value in (("WINDOW", window), ("LONG", long), ("KNOWN", known)):
+        monkeypatch.setattr(token_blocks, name, value)
+    texts = [r[1] or "" for r in cases.rows()] + ["", "x" * 3000, " lead", "trail ", "  ", "é à\u3000b c", "a" * 600 + " b " + "c" * 700]
+    coder = token_blocks.Coder(PATH, 0)
+    for _ in range(2):
+        assert [i.tolist() for i in coder.encoded(texts)] == [tokens(t) for t in texts]
+
+
+def test_other_tokenizers_get_whole_texts(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert not token_blocks.Coder(path, 0).spaced
+    from tokenizers import Tokenizer
+
+    text = cases.prose(50, 1)
+    row = token_blocks.tokenize(spark.createDataFrame([(1, text)], "doc_id int, text string"), path, end=9).first()
+    assert np.frombuffer(row.packed_ids, "<u4").tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 9]
+
+
 def test_empty(spark):
     assert token_blocks.digest(cases.empty(spark), PATH).collect() == []
 
