@@ -116,8 +116,9 @@ def write(leaves: DataFrame, path: str, group: str = "grp", order: str = "ord",
     upper = _grow(
         groups.select(F.lit(0).alias("grp"), F.col("rank").alias("idx"), "n", F.col("subroot").alias("digest")), upper_height, f"{path}/upper"
     )
-    top = upper[-1].filter("n = 1").select("digest").first()
-    return Manifest(spark, path, top[0] if top else None, height, upper_height)
+    upper[-1].filter("n = 1").select("grp", "idx", "digest").write.parquet(f"{path}/root")
+    top = spark.read.parquet(f"{path}/root").first()
+    return Manifest(spark, path, top.digest if top else None, height, upper_height)
 
 
 def _down(frontier: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -165,19 +166,20 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
     # The tree above: which groups are asked for, down from the root.
     named = requests.select("grp").distinct()
     asked_groups = groups.join(named.withColumnRenamed("grp", "_asked"), F.col("grp").eqNullSafe(F.col("_asked")), "left_semi")
-    wanted = [asked_groups.select(F.lit(0).alias("grp"), F.col("rank").alias("idx"))]
-    levels = []
+    levels, wanted = [], asked_groups.select(F.lit(0).alias("grp"), F.col("rank").alias("idx"))
     for _ in range(manifest.upper_height):
-        levels.append(_asked(wanted[-1], []))
-        wanted.append(levels[-1].select("grp", "idx"))
-    at = wanted[-1].select(
-        "grp", "idx", F.lit(manifest.root).cast("string").alias("digest"),
+        levels.append(_asked(wanted, []))
+        wanted = levels[-1].select("grp", "idx")
+    at = manifest.spark.read.parquet(f"{manifest.path}/root").select(
+        "grp", "idx", "digest",
         F.array().cast("array<array<string>>").alias("segments"), F.array().cast("array<int>").alias("digits"),
     )
     for k in range(manifest.upper_height, 0, -1):
         at = _down(at, manifest.records("upper", k), levels[k - 1]).drop("ask")
     entered = land(
-        at.select(F.col("idx").alias("rank"), "digest", "segments", "digits").join(groups, "rank").drop("rank"), "merkle-entered"
+        at.select(F.col("idx").alias("rank"), "digest", "segments", "digits").join(groups, "rank").drop("rank")
+        .withColumn("idx", F.lit(0).cast("long")),
+        "merkle-entered",
     )
     # The trees below, by height: requests meet at their parents, these at theirs, and so on.
     levels = [_asked(requests, others)]
@@ -188,7 +190,7 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
     steps = ["grp", "subroot", "idx", "digest", "segments", "digits"]
 
     def starting(k: int) -> DataFrame:
-        return entered.filter(F.col("_height") == k).withColumn("idx", F.lit(0).cast("long")).select(*steps)
+        return entered.filter(F.col("_height") == k).select(*steps)
 
     at = starting(manifest.height)
     result = None
