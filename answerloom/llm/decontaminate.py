@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from answerloom.llm.common import land
+
 MIN_MATCH = 5
 COVERAGE = 0.6
 #: Words of the tests that one pass over the documents looks for; more tests take more passes.
@@ -163,12 +165,15 @@ class Tests:
         return found
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = MIN_MATCH) -> DataFrame:
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = MIN_MATCH, block_words: int | None = None
+) -> DataFrame:
     """Add ``leaks`` to ``docs`` (text): the tests of ``benchmark`` (item_id, text) that the document covers.
 
     An array of (item_id, coverage, tiles), empty for a clean document.  Tests
-    go to the tasks in blocks of about ``BLOCK_WORDS`` words, each block in a
-    pass of its own over the texts; documents are not shuffled.  Seeds and
+    go to the tasks in blocks of about ``block_words`` (``BLOCK_WORDS``) words.  Each block is a
+    pass of its own over the texts, whose result is written before the next one
+    starts, so a task never holds more than one; documents are not shuffled.  Seeds and
     tiles have ``least`` words, or as many as the test has if it is shorter.
     Tests without a word (NULL, empty, signs only) match nothing; NULL and
     empty documents are clean.  A test given twice is reported twice.  A column
@@ -182,8 +187,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
         "tiles:array<struct<test_start:int,doc_start:int,words:int>>>>"
     )
     tests = benchmark.select("item_id", "text")
-    size = tests.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\W+")))).first()[0] or 0
-    blocks = -(-int(size) // BLOCK_WORDS) or 1
+    size = tests.agg(F.sum(F.regexp_count("text", F.lit(r"(?U)\w+")))).first()[0] or 0  # words as ``tokens`` sees them
+    blocks = -(-int(size) // (block_words or BLOCK_WORDS)) or 1
 
     def search(block: int) -> Column:
         rows = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
@@ -206,12 +211,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
 
         return run(F.col("text"))
 
-    parts = [search(block) for block in range(blocks)]
-    return docs.withColumn("leaks", parts[0] if blocks == 1 else F.concat(*parts))
+    found = docs.withColumn("leaks", search(0))
+    for block in range(1, blocks):
+        found = land(found, "leaks-block").withColumn("leaks", F.concat("leaks", search(block)))
+    return found
 
 
 def leak_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """One row for each document and test that it covers: doc_id, item_id, coverage, n_tiles, longest_tile."""
+    """One row for each document and test that it covers: doc_id, item_id, coverage, n_tiles, longest_tile.
+
+    NULL, empty and blank texts cover nothing and have no row; long texts are
+    searched whole; repeated rows and tests are each reported; a text at exactly
+    ``coverage`` covers the test.  Other columns are not read; an empty table of
+    either kind gives no rows.
+    """
     found = leaks(docs.select("doc_id", "text"), benchmark, coverage)
     return found.select("doc_id", F.explode("leaks").alias("leak")).select(
         "doc_id",

@@ -75,6 +75,21 @@ def test_blocks_of_tests_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, leaks_of(spark, texts))) == want and len(want) == 9
 
 
+def test_tests_in_other_scripts_are_cut_into_blocks(spark, monkeypatch):
+    """Each block is written before the next one is searched, and words count in every script."""
+    letters = "абвгдежзиклмнопрст"
+    pick = random.Random(3)
+    items = [(k, " ".join("".join(pick.choice(letters) for _ in range(6)) for _ in range(12))) for k in range(20)]
+    docs = spark.createDataFrame([(k, f"{cases.prose(9, k)} {t.upper()} конец") for k, t in items], "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    passes = []
+    plain = decontaminate.land
+    monkeypatch.setattr(decontaminate, "land", lambda df, name: passes.append(name) or plain(df, name))
+    got = decontaminate.leaks(docs, tests, block_words=60).collect()
+    assert len(passes) == 3  # 240 words in blocks of 60: four passes, three of them written on the way
+    assert sorted((r.doc_id, [x.item_id for x in r.leaks]) for r in got) == [(k, [k]) for k in range(20)]
+
+
 def test_keep_clean(spark):
     docs = cases.documents(spark)
     tests = spark.createDataFrame([(1, cases.prose(120, 2)[:300])], "item_id long, text string")
