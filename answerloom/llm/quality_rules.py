@@ -8,8 +8,9 @@ many documents vote.
 
 A kind of junk shows in a few rules only, so rules abstain where they see nothing
 instead of voting good, and each kind is seen by two rules or more, which bear
-each other out.  Accuracies are smoothed towards ``START``: a rule that hardly any
-other overlaps keeps about the accuracy that it was given.
+each other out.  Every rule begins with some votes of accuracy ``START``, so one that
+hardly ever votes keeps about that, and with more votes the estimate tends to that
+of plain expectation-maximisation.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ RULES = (
 #: Where EM starts: accuracy of each rule, which it is smoothed towards as well, and share of good documents.
 START = 0.9
 START_GOOD = 0.7
-#: Weight of the smoothing, in votes for each vote that was cast.
-SMOOTHING = 0.5
+#: Votes of accuracy ``START`` that each rule begins with, however many it casts.
+PSEUDO_VOTES = 100.0
 ROUNDS = 15
 #: Estimates keep this far from certainty.
 MARGIN = 0.01
@@ -174,7 +175,7 @@ def posterior(prior: float, right: list[float], at=lambda j: F.get("votes", F.li
 
 
 def estimate(
-    patterns: DataFrame, rules: int = len(RULES), rounds: int = ROUNDS, smoothing: float = SMOOTHING
+    patterns: DataFrame, rules: int = len(RULES), rounds: int = ROUNDS, pseudo_votes: float = PSEUDO_VOTES
 ) -> tuple[float, list[float]]:
     """EM over ``patterns`` (votes, n): share of good documents, and the accuracy of each rule where it votes.
 
@@ -197,7 +198,7 @@ def estimate(
             break
         prior = kept(row["good"] / row["n"])
         right = [
-            kept((row[f"a{j}"] / row[f"v{j}"] + smoothing * START) / (1 + smoothing)) if row[f"v{j}"] else right[j]
+            kept((row[f"a{j}"] + pseudo_votes * START) / (row[f"v{j}"] + pseudo_votes)) if row[f"v{j}"] else right[j]
             for j in range(rules)
         ]
     return prior, right
@@ -228,6 +229,12 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """The counts of the base rules and both verdicts of each row of ``docs``.
+
+    NULL, empty and blank texts have counts of 0 and fail the base; long texts
+    are counted whole; repeated rows each get their row; ties at a threshold are
+    kept; other columns are not read; an empty table gives no rows.
+    """
     return judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

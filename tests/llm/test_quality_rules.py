@@ -64,11 +64,55 @@ def test_estimates_recover_accuracies(spark):
         bad = math.prod(a if v == -1 else 1 - a for v, a in cast)
         patterns.append((votes, round(1e7 * share * (prior * good + (1 - prior) * bad))))
     df = spark.createDataFrame(patterns, "votes array<int>, n long")
-    got_prior, got = rules.estimate(df, rules=5, rounds=60, smoothing=0.0)
+    got_prior, got = rules.estimate(df, rules=5, rounds=60, pseudo_votes=0.0)
     assert got_prior == pytest.approx(prior, abs=0.02)
     assert got == pytest.approx(right, abs=0.02)
 
 
+def plain_em(patterns, rules_, rounds, pseudo):
+    prior, right = rules.START_GOOD, [rules.START] * rules_
+    for _ in range(rounds):
+        good = []
+        for votes, n in patterns:
+            odds = math.log(prior / (1 - prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes, right))
+            good.append(1 / (1 + math.exp(-odds)))
+        prior = sum(n * g for (_, n), g in zip(patterns, good)) / sum(n for _, n in patterns)
+        prior = min(0.99, max(0.01, prior))
+        for j in range(rules_):
+            cast = sum(n for v, n in patterns if v[j])
+            agree = sum(n * (g if v[j] > 0 else 1 - g) for (v, n), g in zip(patterns, good) if v[j])
+            right[j] = min(0.99, max(0.01, (agree + pseudo * rules.START) / (cast + pseudo)))
+    return prior, right
+
+
+def test_estimates_tend_to_plain_em_as_votes_grow(spark):
+    shapes = [([1, -1, 0], 3), ([1, 1, 1], 9), ([-1, -1, -1], 4), ([0, -1, -1], 2), ([1, 0, 1], 5), ([-1, 1, 0], 1)]
+    apart = []
+    for size in (1, 100, 10_000):
+        patterns = [(v, n * size) for v, n in shapes]
+        df = spark.createDataFrame(patterns, "votes array<int>, n long")
+        got_prior, got = rules.estimate(df, rules=3)
+        want_prior, want = plain_em(patterns, 3, rules.ROUNDS, rules.PSEUDO_VOTES)
+        assert (got_prior, *got) == pytest.approx((want_prior, *want))
+        apart.append(max(abs(a - b) for a, b in zip(got, plain_em(patterns, 3, rules.ROUNDS, 0.0)[1])))
+    assert apart[0] > 0.01 > apart[2] and apart[2] < apart[1] < apart[0]
+
+
+def test_verdict_against_plain_recomputation(spark):
+    """Votes as judged; estimate, posterior and verdict from plain Python."""
+    rows = [(k, ". ".join(cases.prose(12, 100 * k + j).capitalize() for j in range(20)) + ".") for k in range(40)]
+    rows += [(100 + k, " ".join(x.upper() + "%%%" for x in cases.prose(150, k).split())) for k in range(12)]
+    rows += [(200 + k, "buy now! " * (60 + k)) for k in range(9)] + [(300, None), (301, "few words")]
+    got = rules.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    patterns = sorted(Counter(tuple(r.votes) for r in got).items())
+    prior, right = plain_em(patterns, len(rules.RULES), rules.ROUNDS, rules.PSEUDO_VOTES)
+    for r in got:
+        odds = math.log(prior / (1 - prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(r.votes, right))
+        assert r.posterior == pytest.approx(1 / (1 + math.exp(-odds)))
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert (r.base_failed, r.kept) == (failed, not failed and r.posterior >= 0.5)
+
+
 def test_posterior_formula(spark):
     right = [0.9, 0.7]
     df = spark.createDataFrame([([1, -1],), ([0, 0],), ([-1, 1],)], "votes array<int>")
