@@ -353,6 +353,7 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
                 F.lit("WARC-Payload-Digest"), F.concat(F.lit("sha1:"), base32_sha1(F.col("payload"))),
                 F.lit("WARC-Refers-To"), F.when(F.col("_revisit"), record_id(first)),
                 F.lit("WARC-Profile"), F.when(F.col("_revisit"), "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+                F.lit("Payload-Length"), F.octet_length("payload").cast("string"),
                 F.lit("Page-Id"), own,
                 F.lit("Refers-To-Page-Id"), first,
             ),
@@ -380,20 +381,36 @@ def read_archive(spark: SparkSession, path: str, schema: str = SCHEMA, **options
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """Archive ``pages`` below the shared folder, read it back and tell of each record what came back."""
+    """Archive ``pages`` (page_id, url, html) below the shared folder, read it back and tell of each record what came back.
+
+    Two reads with the record type as their filter: of responses the payload is
+    inflated and measured again; of revisits nothing but the headers is.  NULL
+    html is an empty payload like an empty text, long payloads are whole.  Of
+    pages with one payload that with the largest page_id is the response, and
+    rows that repeat that page_id are responses too.  Other columns are not
+    read; an empty table gives no rows.
+    """
     path = scratch_path(pages.sparkSession, "warc")
     archive_pages(pages, path)
     id_type = pages.schema["page_id"].dataType
-    records = read_archive(
-        pages.sparkSession, path, "record_type string, headers map<string,string>, http map<string,string>, payload binary",
-        partition_bytes=str(16 << 20),
+    page_id = F.col("headers")["Page-Id"].cast(id_type).alias("page_id")
+
+    def read(columns: str, kind: str) -> DataFrame:
+        schema = f"record_type string, headers map<string,string>{columns}"
+        return read_archive(pages.sparkSession, path, schema, partition_bytes=str(16 << 20)).filter(F.col("record_type") == kind)
+
+    responses = read(", payload binary", "response").select(
+        page_id,
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_sha1(F.col("payload")).alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast(id_type).alias("refers_to"),
     )
-    revisit = F.col("record_type") == "revisit"
-    return records.select(
-        F.col("headers")["Page-Id"].cast(id_type).alias("page_id"),
-        F.when(revisit, F.col("http")["Content-Length"].cast("long")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.when(revisit, F.substring_index(F.col("headers")["WARC-Payload-Digest"], ":", -1))
-        .otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
+    revisits = read("", "revisit").select(
+        page_id,
+        F.col("headers")["Payload-Length"].cast("long").alias("payload_bytes"),
+        F.substring_index(F.col("headers")["WARC-Payload-Digest"], ":", -1).alias("payload_digest"),
         "record_type",
         F.col("headers")["Refers-To-Page-Id"].cast(id_type).alias("refers_to"),
     )
+    return responses.unionAll(revisits)
