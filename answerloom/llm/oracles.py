@@ -149,6 +149,46 @@ drawn AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM drawn
 """
 
+# Every string of 50 bytes, in hex; the remaining bytes are put together from what lies between the removed runs.
+REPEATS = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM texts, unnest(range(len(h) // 2 - 49)) AS r(i)),
+firsts AS (SELECT g, min(doc_id) AS first FROM strings GROUP BY g),
+hits AS (SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS apart FROM strings JOIN firsts USING (g) WHERE first < doc_id),
+runs AS (SELECT doc_id, i, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+cut AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+gone AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS k, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
+  FROM cut JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(k, 0) AS n_spans,
+  sha256(unhex(concat(front, substr(h, 2 * coalesce(last, 0) + 1)))) AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc_id)
+"""
+
+# Words and lines one by one; a word counts once, however many repeated windows hold it.
+QUALITY_BASE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+positions AS (SELECT nr, unnest(range(1, len(w) - 1)) AS i, w FROM texts),
+windows AS (SELECT nr, i, concat(w[i], ' ', w[i + 1], ' ', w[i + 2]) AS g FROM positions),
+counted AS (SELECT nr, i, count(*) OVER (PARTITION BY nr, g) > 1 AS again FROM windows),
+repeated AS (SELECT nr, count(DISTINCT i + k) AS n FROM counted, unnest([0, 1, 2]) AS t(k) WHERE again GROUP BY nr),
+lines AS (SELECT nr, unnest(string_split(text, chr(10))) AS line FROM texts),
+doubled AS (SELECT nr, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY nr)
+SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+  length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+  len(w) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(w) AS base_failed
+FROM texts LEFT JOIN repeated r USING (nr) LEFT JOIN doubled d USING (nr)
+"""
+
+DOCUMENT_SIZES = f"""
+SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, {crc32("coalesce(text, '')")} AS text_crc32 FROM documents
+"""
+
 ORACLES = {
+    "op7_suffix_dedup": REPEATS, "quality_base_counts": QUALITY_BASE, "document_sizes": DOCUMENT_SIZES,
     "op2_mix_sources": MIX_SOURCES, "op6_warc": WARC_PAGES, "op11_merkle_manifest": MERKLE, "op13_importance_resample": RESAMPLE,
 }

@@ -71,11 +71,21 @@ def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 5 counts before any vote, for comparison with SQL."""
+    return quality_rules.digest(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def document_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 10 measures before any draw, for comparison with SQL."""
+    return sharding.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_mix_sources, op3_simhash_near_dedup, op4_secret_scan, op5_quality_rules, op6_warc,
         op7_suffix_dedup, op8_license_scan, op9_quality_classifier, op10_shard_tree, op11_merkle_manifest, op12_token_blocks,
-        op13_importance_resample,
+        op13_importance_resample, quality_base_counts, document_sizes,
     )
 }

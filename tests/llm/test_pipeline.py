@@ -53,4 +53,4 @@ def test_every_query_is_registered():
 
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLES) <= set(driver.oracle_sql()) and duckdb
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
