@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from answerloom.llm.common import land
+from answerloom.llm.common import land, spare_name
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -242,5 +242,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     long texts are read whole, columns of any name stay, and an empty table or
     benchmark changes nothing.
     """
-    rows = docs.select("text", F.struct("*").alias("row"))
-    return leaks(rows, benchmark, coverage).filter(F.size("leaks") == 0).select("row.*")
+    own = spare_name(docs.columns, "own_leaks")
+    named = docs.withColumnRenamed("leaks", own)
+    clean = leaks(named, benchmark, coverage).filter(F.size("leaks") == 0).drop("leaks")
+    return clean.withColumnRenamed(own, "leaks").select(*docs.columns)

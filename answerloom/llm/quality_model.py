@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.common import land
+from answerloom.llm.common import land, spare_name
 
 FEATURES = (
     "length", "word_length", "upper", "symbols", "exclamations", "bars", "digits", "distinct_words",
@@ -258,8 +258,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Dat
     stay.  An empty table stays empty; without a trusted positive the score is
     0.5 everywhere.  Texts, long ones too, are read once, and whole.
     """
-    described = land(
-        docs.select("doc_id", features(F.col("text")).alias("features"), F.struct("*").alias("row")), "quality-features"
-    )
-    model = train(described.select("doc_id", "features"), labels)
-    return described.filter(model.score(F.col("features")) >= threshold).select("row.*")
+    name = spare_name(docs.columns, "features")
+    described = land(docs.withColumn(name, features(F.col("text"))), "quality-features")
+    model = train(described.select("doc_id", F.col(name).alias("features")), labels)
+    return described.filter(model.score(F.col(name)) >= threshold).drop(name)
