@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The characters that count as white space for trimming and for
@@ -19,6 +19,16 @@ SPACE = r"\s\x1c-\x1f"  # inside [...], under the flag (?U)
 BREAK = r"\v\x1c-\x1e"
 
 
+ANALYSIS = "spark.sql.analyzer.maxIterations"
+
+
+def deeper_analysis(passes: int = 1000) -> None:
+    """Let the session's analyzer make more passes over an expression; it stops by itself as soon as nothing changes."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and int(spark.conf.get(ANALYSIS, "100")) < passes:
+        spark.conf.set(ANALYSIS, str(passes))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 
@@ -83,42 +93,69 @@ def nested_braces(depth: int) -> str:
     return body
 
 
-def running(
-    items: Column, start: Column, step: Callable[[Column, Column], Column], kind: str, chunk: int = 256
-) -> Column:
-    """The state before each item, ``step`` giving the one behind it.
+def _gather(items: Column, start: Column, kind: str, emits: str, one: Callable[[Column, Column], Column], chunk: int) -> Column:
+    """Fold ``one`` over the items and gather what it puts out.
 
-    Appending to an array copies it, so states are gathered in chunks, and
-    chunks into the result: the work is near linear in the items.
+    ``one`` gets (at, seen) and an item and gives the same again.  Appending to
+    an array copies it, so outputs are gathered in chunks, chunks in blocks of
+    chunks, and these into the result: the work is near linear in the items.
     """
+    wide = chunk * chunk
+
+    def empty(state: Column, depth: str) -> Column:
+        return F.struct(state.alias("at"), F.array().cast(f"array<{depth}>").alias("seen"))
 
-    def inside(places: Column, state: Column, every: Column) -> Column:
+    def gathered(numbers: Column, state: Column, body: Callable[[Column, Column], Column], depth: str) -> Column:
+        """Fold ``body`` over ``numbers``, gathering what each gives."""
         return F.aggregate(
-            places,
-            F.struct(state.alias("at"), F.array().cast(f"array<{kind}>").alias("seen")),
-            lambda acc, i: F.struct(
-                step(acc["at"], F.get(every, i)).cast(kind).alias("at"),
-                F.array_append(acc["seen"], acc["at"]).alias("seen"),
+            numbers,
+            empty(state, depth),
+            lambda acc, number: let(
+                body(acc["at"], number), lambda r: F.struct(r["at"].alias("at"), F.array_append(acc["seen"], r["seen"]).alias("seen"))
             ),
         )
 
-    def over_chunks(acc: Column, number: Column, every: Column) -> Column:
-        # Not slice(): inside a lambda that copies the whole array each time.
-        last = F.least((number + 1) * chunk, F.size(every)) - 1
+    def over(every: Column) -> Column:
+        total = F.size(every)
+
+        def inside(state: Column, c: Column) -> Column:
+            # Not slice(): inside a lambda that copies the whole array each time.
+            places = F.sequence(c * chunk, F.least((c + 1) * chunk, total) - 1)
+            return F.aggregate(places, empty(state, emits), lambda acc, i: one(acc, F.get(every, i)))
+
+        def block(state: Column, b: Column) -> Column:
+            last = F.floor((F.least((b + 1) * wide, total) - 1) / chunk).cast("int")
+            return gathered(F.sequence(b * chunk, last), state, inside, f"array<{emits}>")
+
+        blocks = F.sequence(F.lit(0), F.floor((total - 1) / wide).cast("int"))
+        return F.flatten(F.flatten(gathered(blocks, start.cast(kind), block, f"array<array<{emits}>>")["seen"]))
+
+    return F.when(F.size(items) == 0, F.array().cast(f"array<{emits}>")).otherwise(let(items, over))
+
+
+def scan(
+    items: Column, start: Column, step: Callable[[Column, Column], Column], kind: str, emits: str, chunk: int = 32
+) -> Column:
+    """What ``step`` puts out at each item, while a state goes from item to item.
+
+    ``step`` gets the state and the item and gives ``next``, the state behind it, and ``out``.
+    """
+
+    def one(acc: Column, item: Column) -> Column:
         return let(
-            inside(F.sequence(number * chunk, last), acc["at"], every),
-            lambda r: F.struct(r["at"].alias("at"), F.array_append(acc["seen"], r["seen"]).alias("seen")),
+            step(acc["at"], item),
+            lambda s: F.struct(s["next"].cast(kind).alias("at"), F.array_append(acc["seen"], s["out"].cast(emits)).alias("seen")),
         )
 
-    numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int"))
-    first = F.struct(
-        start.cast(kind).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("seen")
-    )
-    return F.when(F.size(items) == 0, F.array().cast(f"array<{kind}>")).otherwise(
-        let(
-            items,
-            lambda every: F.flatten(
-                F.aggregate(numbers, first, lambda acc, n: over_chunks(acc, n, every))["seen"]
-            ),
-        )
-    )
+    return _gather(items, start, kind, emits, one, chunk)
+
+
+def running(
+    items: Column, start: Column, step: Callable[[Column, Column], Column], kind: str, chunk: int = 32
+) -> Column:
+    """The state before each item, ``step`` giving the one behind it."""
+
+    def one(acc: Column, item: Column) -> Column:
+        return F.struct(step(acc["at"], item).cast(kind).alias("at"), F.array_append(acc["seen"], acc["at"]).alias("seen"))
+
+    return _gather(items, start, kind, kind, one, chunk)

@@ -6,16 +6,19 @@ Each rule is a column that is NULL while undecided, so the cascade is one
 
 Tuples and sets compare their parts with the same rules.  Column expressions
 cannot recurse, so the nesting is written out ``NESTING`` levels deep; answers
-with more brackets take the route without a limit (``functions.deep``).
+with more brackets are taken apart level by level (``functions.nested``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from answerloom.functions.columns import SPACE, enclosed, let, unwrap
-from answerloom.functions.deep import deep_match
+from answerloom.functions.columns import SPACE, deeper_analysis, enclosed, let, unwrap
+from answerloom.functions.nested import Nested, nested_match
 from answerloom.functions.normalization import (
     bare_form,
     bare_is_number,
@@ -30,6 +33,11 @@ TOLERANCE = 1e-9
 LETTER = r"[A-Za-z]"
 DIGIT_OR_OPERATOR = r"[\p{Nd}=+\-*/^]"
 NESTING = 3
+# Where an answer is taken apart: levels of groups below a pair that is decided by its texts, and how deep these are
+# looked into (further, since brackets that do not match are not taken apart).
+BELOW, BY_TEXTS = 1, 1
+
+Rule = Callable[[Column, Column], Column]
 
 
 def simple_match(pred: Column, gold: Column) -> Column:
@@ -47,37 +55,34 @@ def _bare_parts(bare: Column) -> Column:
     return F.transform(split_commas(inner), bare_form)
 
 
-def _match_parts(ps: Column, gs: Column, ordered: Column, depth: int) -> Column:
+def _match_parts(ps: Column, gs: Column, ordered: Column, depth: int, further: Rule | None) -> Column:
     """Pair every part of ``ps`` with its own agreeing part of ``gs``.
 
     A set gives each part the first free counterpart that agrees with it.  In a
-    tuple the only candidate is the next one, so the same fold serves both.
+    tuple the only candidate is the one at the same place, so the same fold
+    serves both.
     """
 
     def take(state: Column, p: Column) -> Column:
-        candidates = F.when(ordered, F.slice(state["free"], 1, 1)).otherwise(
-            state["free"]
-        )
-        agree = F.transform(candidates, lambda g: bare_match(p, g, depth))
+        candidates = F.when(ordered, F.array(F.get(gs, state["place"]))).otherwise(state["free"])
+        agree = F.transform(candidates, lambda g: bare_match(p, g, depth, further))
+        rest = lambda at: F.when(ordered, state["free"]).otherwise(F.filter(state["free"], lambda _, i: i != at - 1))
         return F.when(~state["ok"], state).otherwise(
             let(
                 F.array_position(agree, F.lit(True)),
-                lambda at: F.struct(
-                    F.filter(state["free"], lambda _, i: i != at - 1).alias("free"),
-                    (at > 0).alias("ok"),
-                ),
+                lambda at: F.struct(rest(at).alias("free"), (at > 0).alias("ok"), (state["place"] + 1).alias("place")),
             )
         )
 
     return F.aggregate(
         ps,
-        F.struct(gs.alias("free"), F.lit(True).alias("ok")),
+        F.struct(gs.alias("free"), F.lit(True).alias("ok"), F.lit(0).alias("place")),
         take,
         lambda state: state["ok"],
     )
 
 
-def _grouped_match(p: Column, g: Column, depth: int) -> Column:
+def _grouped_match(p: Column, g: Column, depth: int, further: Rule | None) -> Column:
     """Tuples and sets with the same number of parts; NULL for anything else."""
     tuples = enclosed(p, "(", ")") & enclosed(g, "(", ")")
     sets = enclosed(p, "{", "}") & enclosed(g, "{", "}")
@@ -87,14 +92,18 @@ def _grouped_match(p: Column, g: Column, depth: int) -> Column:
             F.transform(F.array(p, g), _bare_parts),
             lambda parts: F.when(
                 (F.size(parts[0]) > 0) & (F.size(parts[0]) == F.size(parts[1])),
-                _match_parts(parts[0], parts[1], F.startswith(g, F.lit("(")), depth),
+                _match_parts(parts[0], parts[1], F.startswith(g, F.lit("(")), depth, further),
             ),
         ),
     )
 
 
-def bare_match(p: Column, g: Column, depth: int = NESTING) -> Column:
-    """The cascade on two answers already in bare form."""
+def bare_match(p: Column, g: Column, depth: int = NESTING, further: Rule | None = None) -> Column:
+    """The cascade on two answers already in bare form.
+
+    ``further`` may add a rule of its own for what is neither text, group nor
+    number; it counts where it gives true.
+    """
     words = F.rlike(g, F.lit(LETTER)) & ~F.rlike(g, F.lit(DIGIT_OR_OPERATOR))
     both = F.array(p, g)
     rules = [
@@ -119,8 +128,10 @@ def bare_match(p: Column, g: Column, depth: int = NESTING) -> Column:
         ),
         F.lit(False),
     ]
+    if further:
+        rules.insert(3, F.when(further(p, g), F.lit(True)))
     if depth:
-        rules.insert(2, _grouped_match(p, g, depth - 1))
+        rules.insert(2, _grouped_match(p, g, depth - 1, further))
     return F.coalesce(*rules)
 
 
@@ -129,14 +140,23 @@ def nested(bare: Column) -> Column:
     return F.rlike(bare, F.lit(rf"(?:[(\[{{][^(\[{{]*+){{{NESTING + 1}}}"))
 
 
-def any_match(p: Column, g: Column, usual: Column) -> Column:
-    """``usual``, or the match without a limit where both bare answers are nested."""
-    deep = nested(p) & nested(g)
-    return F.when(deep, deep_match(F.when(deep, p), F.when(deep, g))).otherwise(usual)
+def level_by_level(further: Rule | None = None) -> Nested:
+    """The match for answers that are ``nested``; NULL where they cannot be taken apart."""
+    return nested_match(partial(bare_match, depth=BY_TEXTS, further=further), bare_form, LETTER, DIGIT_OR_OPERATOR, BELOW)
+
+
+def answers_match(pred: Column, gold: Column, further: Rule | None = None) -> Column:
+    """Robust equivalence as one boolean column; never NULL.
+
+    Spark resolves lambdas within lambdas one by one, and this expression has
+    more of them than its limit of passes foresees; the limit is raised.
+    :func:`answerloom.operators.grading.with_match` does without.
+    """
+    deeper_analysis()
 
+    def matched(p: Column, g: Column) -> Column:
+        deep = F.when(nested(p) & nested(g), level_by_level(further).at_once(p, g))
+        return F.coalesce(deep, bare_match(p, g, further=further))
 
-def answers_match(pred: Column, gold: Column) -> Column:
-    """Robust equivalence as one boolean column; never NULL."""
-    p, g = bare_form(pred), bare_form(gold)
-    usual = let(F.array(p, g), lambda both: bare_match(both[0], both[1]))
-    return F.when(is_blank(pred) | is_blank(gold), F.lit(False)).otherwise(any_match(p, g, usual))
+    both = F.array(bare_form(pred), bare_form(gold))
+    return F.when(is_blank(pred) | is_blank(gold), F.lit(False)).otherwise(let(both, lambda b: matched(b[0], b[1])))

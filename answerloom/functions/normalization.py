@@ -4,21 +4,13 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from answerloom.functions.columns import (
-    SPACE,
-    drop,
-    let,
-    nested_braces,
-    running,
-    squeeze,
-    strip,
-    unwrap,
-)
-from answerloom.functions.deep import deep_text, fractions, roots
+from answerloom.functions.brackets import brace_partners, byte_starts, cut_pieces, rewrite
+from answerloom.functions.columns import SPACE, drop, let, running, squeeze, strip, unwrap
 
 # Commands that only wrap text, and the plain-text equivalents
 # of LaTeX operators, applied in this order.
@@ -41,10 +33,6 @@ FLOAT_LITERAL = (
     r"|inf|infinity|nan)\z"
 )
 TOP, INNER = "\x01", "\x02"
-# Up to so many braces or roots in a text, patterns of fixed depth do; texts
-# with more take the route without a limit.
-BRACE_DEPTH = 40
-ROOT_ROUNDS = 6
 
 
 def simple_form(answer: Column) -> Column:
@@ -197,35 +185,84 @@ def expression_form(answer: Column) -> Column:
     return text
 
 
+def _with_braces(text: Column, command: str, edits: Callable[[Column], Column]) -> Column:
+    """``text`` edited by what ``edits`` makes of its pieces; as it is where it has no ``command`` with a brace.
+
+    ``edits`` gets a struct: ``pieces``, ``starts`` (bytes) and ``braces``, as
+    :func:`brace_partners` gives them.
+    """
+
+    def edited(pieces: Column) -> Column:
+        return let(
+            F.struct(pieces.alias("pieces"), byte_starts(pieces).alias("starts"), brace_partners(pieces).alias("braces")),
+            lambda t: rewrite(text, edits(t)),
+        )
+
+    return F.when(F.contains(text, F.lit(command + "{")), let(cut_pieces(text, "{}"), edited)).otherwise(text)
+
+
+def _braces_after(t: Column, pattern: str) -> Column:
+    """Places of the opening braces right behind ``pattern``."""
+    behind = lambda piece, i: (piece == "{") & F.rlike(F.get(t["pieces"], i - 1), F.lit(pattern))
+    places = F.transform(t["pieces"], lambda piece, i: F.when((i > 0) & behind(piece, i), i))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _partner(t: Column, place: Column) -> Column:
+    """The place of the brace that closes the one that opens at ``place``; NULL if none does, or if no brace opens there."""
+    return F.when(F.get(t["pieces"], place) == "{", F.get(t["braces"]["close"], F.get(t["braces"]["no"], place)))
+
+
+def _edit(start: Column, stop: Column, new: str) -> Column:
+    return F.struct(start.alias("start"), stop.alias("stop"), F.lit(new).alias("new"))
+
+
 def fractions_inline(text: Column) -> Column:
     r"""``\frac{a}{b}`` and ``\dfrac{a}{b}`` to ``((a))/((b))``, outermost only, whatever their depth."""
-    body = nested_braces(BRACE_DEPTH)
-    usual = F.regexp_replace(
-        text, rf"\\d?frac\{{({body})\}}\{{({body})\}}", r"(($1))/(($2))"
-    )
-    many = F.rlike(text, F.lit(rf"(?:\{{[^{{]*+){{{BRACE_DEPTH + 1}}}"))
-    return F.when(many, deep_text(fractions, F.when(many, text))).otherwise(usual)
+
+    def edits(t: Column) -> Column:
+        over_under = F.filter(
+            F.transform(
+                _braces_after(t, r"\\d?frac\z"),
+                lambda i: let(
+                    _partner(t, i),
+                    lambda close: F.struct(i.alias("open"), close.alias("over"), _partner(t, close + 1).alias("under")),
+                ),
+            ),
+            lambda f: f["under"].isNotNull(),
+        )
+
+        def outermost(all_of_them: Column) -> Column:
+            """Those that begin behind the end of the last one taken."""
+            behind = lambda end, f: f["open"] - 1 > end
+            ends = running(all_of_them, F.lit(-2), lambda end, f: F.when(behind(end, f), f["under"]).otherwise(end), "int")
+            return let(ends, lambda e: F.filter(all_of_them, lambda f, i: behind(F.get(e, i), f)))
+
+        def three(f: Column) -> Column:
+            open_, over, under = (F.get(t["starts"], f[name]) for name in ("open", "over", "under"))
+            command = F.when(F.endswith(F.get(t["pieces"], f["open"] - 1), F.lit("\\dfrac")), 6).otherwise(5)
+            return F.array(_edit(open_ - command, open_ + 1, "(("), _edit(over, over + 2, "))/(("), _edit(under, under + 1, "))"))
+
+        return F.flatten(F.transform(let(over_under, outermost), three))
+
+    return _with_braces(text, "frac", edits)
 
 
 def roots_inline(text: Column) -> Column:
     r"""``\sqrt{a}`` to ``sqrt((a))``, nested ones too, up to the first unclosed."""
-    body = nested_braces(BRACE_DEPTH)
-    unclosed = rf"(?s)\\sqrt\{{(?!{body}\}}).*\z"
-
-    def rewrite(head: Column) -> Column:
-        done = head
-        for _ in range(ROOT_ROUNDS):
-            done = F.regexp_replace(done, rf"\\sqrt\{{({body})\}}", r"sqrt(($1))")
-        rest = F.substring(text, F.char_length(head) + 1, F.char_length(text))
-        return F.concat(done, rest)
-
-    usual = let(F.regexp_replace(text, unclosed, ""), rewrite)
-    many = F.rlike(
-        text,
-        F.lit(rf"(?:\{{[^{{]*+){{{BRACE_DEPTH + 1}}}|(?s)(?:\\sqrt\{{.*?){{{ROOT_ROUNDS + 1}}}"),
-    ) & F.contains(text, F.lit("\\sqrt{"))
-    return (
-        F.when(many, deep_text(roots, F.when(many, text)))
-        .when(F.contains(text, F.lit("\\sqrt{")), usual)
-        .otherwise(text)
-    )
+
+    def edits(t: Column) -> Column:
+        def closed(places: Column) -> Column:
+            """Those before the first that is not closed."""
+            return let(
+                F.array_position(F.transform(places, lambda i: _partner(t, i).isNull()), F.lit(True)),
+                lambda unclosed: F.filter(places, lambda _, k: (unclosed == 0) | (k < unclosed - 1)),
+            )
+
+        def two(i: Column) -> Column:
+            open_, close = F.get(t["starts"], i), F.get(t["starts"], _partner(t, i))
+            return F.array(_edit(open_ - 5, open_ + 1, "sqrt(("), _edit(close, close + 1, "))"))
+
+        return F.array_sort(F.flatten(F.transform(let(_braces_after(t, r"\\sqrt\z"), closed), two)))
+
+    return _with_braces(text, "\\sqrt", edits)

@@ -8,13 +8,10 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.functions.equivalence import (
-    any_match,
-    bare_match,
-    is_blank,
-    simple_match,
-)
+from answerloom.functions.columns import deeper_analysis
+from answerloom.functions.equivalence import bare_match, is_blank, level_by_level, nested, simple_match
 from answerloom.functions.extraction import robust_answer, simple_answer
+from answerloom.functions.identity import same_expression
 from answerloom.functions.normalization import bare_form
 
 # Writing out the rules takes about a second of driver time, so each session
@@ -43,28 +40,55 @@ def _bare(name: str, other: str) -> Column:
     return F.when(F.col(name) != F.col(other), bare_form(F.col(name)))
 
 
-def _cascade() -> Column:
+def _deep() -> Column:
+    return nested(F.col("_bare_pred")) & nested(F.col("_bare_gold"))
+
+
+def _apart(name: str) -> Column:
+    return F.when(_deep(), level_by_level().apart(F.col(name)))
+
+
+def _pairs() -> Column:
+    return level_by_level().pairs(F.col("_apart_pred"), F.col("_apart_gold"))
+
+
+def _cascade(*rules: str) -> Column:
     p, g = F.col("_bare_pred"), F.col("_bare_gold")
-    return any_match(p, g, bare_match(p, g))
+    further = same_expression if rules else None
+    by_level = level_by_level(further).match(F.col("_apart_pred"), F.col("_apart_gold"), F.col("_pairs"))
+    return F.coalesce(by_level, bare_match(p, g, further=further))
 
 
-def with_match(df: DataFrame, pred: str, gold: str, out: str) -> DataFrame:
+def with_match(df: DataFrame, pred: str, gold: str, out: str, identities: bool = False) -> DataFrame:
     """Add the robust grade (0/1) of ``pred`` against ``gold``.
 
+    With ``identities``, answers and parts of them also agree if they are the
+    same rational function (see :mod:`answerloom.functions.identity`).
+
     Row-local: no shuffle.  The two bare forms are columns of their own, so
     they are computed once per row however many rules look at them, and not at
-    all for answers that agree as they stand.
+    all for answers that agree as they stand.  So are the steps of the match for
+    deeply nested answers, which are NULL for all others.
     """
     spark = df.sparkSession
+    if identities:
+        deeper_analysis()
     bare = df.withColumns(
         {"_bare_pred": _kept(spark, _bare, pred, gold), "_bare_gold": _kept(spark, _bare, gold, pred)}
     )
+    apart = bare.withColumns({"_apart_pred": _kept(spark, _apart, "_bare_pred"), "_apart_gold": _kept(spark, _apart, "_bare_gold")})
+    paired = apart.withColumn("_pairs", _kept(spark, _pairs))
     match = (
         F.when(_kept(spark, _blank, pred, gold), F.lit(False))
         .when(F.col(pred) == F.col(gold), F.lit(True))
-        .otherwise(_kept(spark, _cascade))
+        .otherwise(_kept(spark, _cascade, *(["identities"] if identities else [])))
     )
-    return bare.withColumn(out, match.cast("int")).drop("_bare_pred", "_bare_gold")
+    return paired.withColumn(out, match.cast("int")).drop("_bare_pred", "_bare_gold", "_apart_pred", "_apart_gold", "_pairs")
+
+
+def extract_answers(runs: DataFrame, completion: str = "completion") -> DataFrame:
+    """Add ``pred_eval``, the answer that the completion ends with; '' where there is none."""
+    return runs.withColumn("pred_eval", _kept(runs.sparkSession, _robust, completion))
 
 
 def grade_runs(
@@ -75,7 +99,7 @@ def grade_runs(
     A missing or empty completion gives an empty, hence wrong, prediction.
     One scan, no shuffle, whatever the size or skew of the table.
     """
-    extracted = runs.withColumn("pred_eval", _kept(runs.sparkSession, _robust, completion))
+    extracted = extract_answers(runs, completion)
     return with_match(extracted, "pred_eval", gold, "correct_eval")
 
 
@@ -99,7 +123,7 @@ def grade_runs_once_per_pair(
     which adaptive execution splits; it also broadcasts the pair table when
     its measured size allows.
     """
-    extracted = runs.withColumn("pred_eval", _kept(runs.sparkSession, _robust, completion))
+    extracted = extract_answers(runs, completion)
     pairs = extracted.select(
         F.col("pred_eval").alias("_pred"), F.col(gold).alias("_gold")
     ).distinct()

@@ -1,24 +1,11 @@
-"""The rules that need unlimited nesting, for the few answers that are nested deeply.
-
-Column expressions cannot recurse.  They handle the usual depths; answers beyond
-come here in Arrow batches, every other row as NULL.  Both routes follow the same
-rules, so a result does not depend on the route (tests compare them).
-"""
+"""The rules for nested answers written plainly, by recursion, for tests to compare with."""
 
 from __future__ import annotations
 
 import re
-import sys
-
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from answerloom.functions.columns import SPACE, SPACES
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
-
 # Fixed values, as in the column rules.
 COMMANDS = ("text", "mathrm", "mathbf")
 NUMBER = re.compile(r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)")
@@ -124,29 +111,3 @@ def roots(text: str) -> str:
         out += [text[done:start], new]
         done = end
     return "".join([*out, text[done:]])
-
-
-def deep_match(pred: Column, gold: Column) -> Column:
-    """``agree`` for rows where neither bare answer is NULL."""
-
-    @F.arrow_udf("boolean")
-    def run(preds: pa.Array, golds: pa.Array) -> pa.Array:
-        def one(p: str | None, g: str | None) -> bool | None:
-            if p is None or g is None:
-                return None
-            sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + len(p) + len(g)))
-            return agree(p, g)
-
-        return pa.array([one(p.as_py(), g.as_py()) for p, g in zip(preds, golds)], pa.bool_())
-
-    return run(pred, gold)
-
-
-def deep_text(rewrite, text: Column) -> Column:
-    """``fractions`` or ``roots`` for rows that are not NULL."""
-
-    @F.arrow_udf("string")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t.as_py() is None else rewrite(t.as_py()) for t in texts], pa.string())
-
-    return run(text)

@@ -1,14 +1,15 @@
-"""Answers nested beyond what column expressions write out, and agreement of the two routes."""
+"""Answers nested to any depth, against plain recursion, and the time they take."""
 
 import random
+import sys
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from answerloom.functions import deep
 from answerloom.functions.equivalence import answers_match, bare_match
 from answerloom.functions.normalization import bare_form, fractions_inline, roots_inline, split_commas
+from tests import recursive as deep
 
 
 def tower(depth, core, left="(0,", right=")"):
@@ -27,18 +28,68 @@ def test_tuples_and_sets_of_any_depth(spark):
     assert wrong == []
 
 
-def odd_answers(n, seed):
+def odd_answers(n, seed, deepest=3, open_ended=True):
     pick = random.Random(seed)
     leaves = ["1", "1.0", "-2.", ".5", "x", "Blue", "blue", "\\text{Blue}", "\\frac{1}{2}", "x+1", "", " ", "$3$", "1_0", "(", ")", "{", "²", "٣"]
+    if not open_ended:  # brackets that match: others are looked into only so far
+        leaves = [x for x in leaves if x not in "(){"] + ["(1)(2)", "f(x)", "[1,2]"]
 
     def one(depth):
         if not depth or pick.random() < 0.3:
             return pick.choice(leaves)
         inner = ",".join(one(depth - 1) for _ in range(pick.randrange(4)))
-        left, right = pick.choice(["()", "{}", "[]", ("\\left(", "\\right)"), ("(", "")])
+        left, right = pick.choice(["()", "{}", "[]", ("\\left(", "\\right)"), ("(", "")] if open_ended else ["()", "{}", "()", "{}", "[]"])
         return left + inner + right
 
-    return [one(3) for _ in range(n)]
+    return [one(deepest) for _ in range(n)]
+
+
+def test_deep_answers_agree_with_recursion(spark):
+    """Wide and deep, with sets in another order, other spellings of a number, and single changes."""
+    pick = random.Random(11)
+    leaves = ["1", "2", "-3.5", "x", "Blue", "\\frac{1}{2}", "x+1", "0.1", "(5)", "5"]
+
+    def tree(depth):
+        if depth == 0:
+            return pick.choice(leaves)
+        kind = pick.choice(["()", "{}"])
+        inner = [tree(depth - 1) if k == 0 or pick.random() < 0.3 else pick.choice(leaves) for k in range(pick.randrange(1, 4))]
+        pick.shuffle(inner)
+        return (kind, inner)
+
+    def text(node, vary):
+        if isinstance(node, str):
+            if vary and pick.random() < 0.5:
+                return {"1": "1.0", "2": "+2", "-3.5": "-3.50", "Blue": "blue", "x": "x ", "5": "(5)"}.get(node, node)
+            return node if not vary or pick.random() < 0.99 else "9"
+        kind, inner = node
+        if vary and kind == "{}":
+            inner = pick.sample(inner, len(inner))
+        return kind[0] + (" , " if vary else ",").join(text(i, vary) for i in inner) + kind[1]
+
+    pairs = []
+    for k in range(1500):
+        node = tree(pick.randrange(4, 9))
+        pairs.append((text(node, False), text(node, True)))
+    texts = odd_answers(300, 12, deepest=7, open_ended=False)
+    pairs += [(t, pick.choice(texts)) for t in texts] + [(t, t.replace("1.0", "1").replace("Blue", "blue")) for t in texts]
+    df = spark.createDataFrame(pairs, "p string, g string").repartition(4).select(
+        "p", "g", bare_form(F.col("p")).alias("bp"), bare_form(F.col("g")).alias("bg"),
+        answers_match(F.col("p"), F.col("g")).alias("got"),
+    ).collect()
+    blank = lambda t: not t.strip()
+    wrong = [r for r in df if r.got != (not blank(r.p) and not blank(r.g) and deep.agree(r.bp, r.bg))]
+    assert wrong == []
+    assert 300 < sum(r.got for r in df) < len(df) - 300
+
+
+def test_very_deep_answers_agree_with_recursion(spark):
+    sys.setrecursionlimit(100_000)
+    rows = [(tower(d, "1", left, right), tower(d, "1.0", left, right)) for d in (4, 5, 60) for left, right in (("(0,", ")"), ("{0,", "}"), ("(", ")"), ("{", "}"), ("((1,2),", ",{3})"))]
+    rows += [(p.replace("0", "7", 1), g) for p, g in rows] + [(p, g[:-1] + ")") for p, g in rows]
+    df = spark.createDataFrame(rows, "p string, g string").repartition(2).select("p", "g", answers_match(F.col("p"), F.col("g")).alias("got"))
+    for r in df.collect():
+        assert r.got == deep.agree(r.p, r.g), r
 
 
 def test_both_routes_agree(spark):
@@ -82,12 +133,14 @@ def test_deep_fractions_and_roots(one_column, depth):
 
 
 def timed(spark, function, text):
+    """The best of three runs; the expression is written out and resolved beforehand."""
     df = spark.createDataFrame([(text,)], "t string").cache()
     df.count()
+    result = df.select(function(F.col("t")).alias("x"))
     best = 1e9
     for _ in range(3):
         start = time.monotonic()
-        df.select(function(F.col("t")).alias("x")).write.format("noop").mode("overwrite").save()
+        result.write.format("noop").mode("overwrite").save()
         best = min(best, time.monotonic() - start)
     return best
 
@@ -96,7 +149,20 @@ def test_work_grows_with_the_text(spark):
     parts = lambda n: "(1)," + "1," * n
     roots = lambda n: "\\sqrt{" * n + "}" * n + "\\frac{1}{2}" * n
     match = lambda t: answers_match(t, F.concat(t, F.lit(" ")))
-    for function, text in ((split_commas, parts), (fractions_inline, roots), (roots_inline, roots)):
+    only_roots = lambda n: "\\sqrt{" * n + "x" + "}" * n
+    for function, text, most in (
+        (split_commas, parts, 2), (roots_inline, only_roots, 2), (fractions_inline, roots, 5), (roots_inline, roots, 5)
+    ):
         few, many = timed(spark, function, text(10_000)), timed(spark, function, text(40_000))
-        assert many < 2 and many < 6 * few + 0.5, (function.__name__, few, many)
-    assert timed(spark, match, "((1)," + "1," * 5_000 + "1)") < 20
+        assert many < most and many < 6 * few + 0.5, (function.__name__, few, many)
+    flat = lambda n: "((1)," + "1," * n + "1)"
+    few, many = timed(spark, match, flat(1_500)), timed(spark, match, flat(6_000))
+    assert many < 10 and many < 6 * few + 0.5, (few, many)
+
+
+@pytest.mark.parametrize("left, right", [("(0,", ")"), ("(", ",1)"), ("{0,", "}"), ("([", "])")])
+def test_deep_answers_take_time_near_linear(spark, left, right):
+    """The two differ innermost, so every level has to be looked at."""
+    match = lambda t: answers_match(t, F.replace(t, F.lit("77"), F.lit("77.0")))
+    few, many = (timed(spark, match, tower(n, "77", left, right)) for n in (2_000, 8_000))
+    assert many < 4 and many < 8 * few + 0.5, (few, many)
