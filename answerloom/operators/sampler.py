@@ -6,13 +6,19 @@ Input columns: ``chain_id``, ``block``, ``step``, ``alpha``, ``prop_logp``,
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.operators.sharding import shared_folder
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
+
 # Rows per window segment: small enough for one task, large enough that a
 # chain has few segments.
 SEGMENT_STEPS = 100_000
@@ -66,6 +72,20 @@ def accept_rate(steps: DataFrame) -> DataFrame:
     )
 
 
+def _in_segments(steps: DataFrame, segment_rows: int) -> DataFrame:
+    """``steps`` written in the order of chain, block and step, with ``_place`` and the ``_segment`` of so many rows it is in."""
+    spark = steps.sparkSession
+    order = ["chain_id", "block", "step"]
+    path = f"{shared_folder(spark)}/chains-{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()  # partitions follow one another, and rows within them
+    sorted_rows = steps.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    sorted_rows.withColumn("_place", place).withColumn(
+        "_segment", F.floor(F.col("_place") / F.lit(segment_rows))
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def carried_state(
     steps: DataFrame, segment_rows: int = SEGMENT_STEPS, tolerance: float = 1e-9
 ) -> DataFrame:
@@ -84,17 +104,7 @@ def carried_state(
     row; the state at its start comes from a window over the summaries, which
     are few; and the row window runs within a segment.
     """
-    spark = steps.sparkSession
-    order = ["chain_id", "block", "step"]
-    path = f"{shared_folder(spark)}/chains-{uuid.uuid4().hex}"
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place = F.monotonically_increasing_id()  # partitions follow one another, and rows within them
-    sorted_rows = with_acceptance(steps).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    sorted_rows.withColumn("_place", place).withColumn(
-        "_segment", F.floor(F.col("_place") / F.lit(segment_rows))
-    ).write.parquet(path)
-    logged = spark.read.parquet(path)
-
+    logged = _in_segments(with_acceptance(steps), segment_rows)
     segment = ["chain_id", "block", "_segment"]
     took = F.when(F.col("accepted"), F.col("prop_logp"))
     summaries = logged.groupBy(*segment).agg(
@@ -131,3 +141,172 @@ def carried_state(
         )
         .drop("_segment", "_start", "_chain", "_of", "_cut", "_place")
     )
+
+
+# --- replay: acceptance decided anew by the carried state --------------------
+#
+# A step takes its proposal if ln(u) < min(0, alpha * (prop - x) + dq), x being
+# the state it finds.  For alpha > 0 that is x < t with t = prop + (dq - ln u) /
+# alpha: a map that sends everything below t to prop and leaves the rest alone.
+# Such maps compose: what a run of them makes of x depends only on the first t
+# above x, so a segment is summed up by its record thresholds and, for each, the
+# state that a chain entering there leaves with.
+
+NEVER, ALWAYS = -np.inf, np.inf
+
+
+def thresholds(alpha: np.ndarray, prop: np.ndarray, dq: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each step the bound and its side (1: takes states below it, -1: states above it).
+
+    A step with a missing figure never takes its proposal; with alpha = 0 the
+    state does not matter.
+    """
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        log_u = np.where(u > 0, np.log(np.where(u > 0, u, 1.0)), -np.inf)
+        bound = prop + (dq - log_u) / alpha
+    side = np.where(alpha < 0, -1, 1)
+    flat = np.where((log_u < np.minimum(0.0, dq)) | ((u <= 0) & (dq > -np.inf)), ALWAYS, NEVER)
+    bound = np.where(alpha == 0, flat, bound)
+    # ln(u) < 0 is a condition of its own, and a draw of 0 takes whatever is possible.
+    bound = np.where((u >= 1), NEVER * side, bound)
+    known = ~(np.isnan(alpha) | np.isnan(prop) | np.isnan(dq) | np.isnan(u))
+    return np.where(known & ~np.isnan(bound), bound, NEVER * side), side
+
+
+def walk(state: float, prop: np.ndarray, bound: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """The state before each step, and behind the last one, of a chain that enters with ``state``."""
+    out = np.empty(len(prop) + 1)
+    out[0], at = state, 0
+    for k, (p, t, s) in enumerate(zip(prop.tolist(), bound.tolist(), side.tolist())):
+        if (state < t) if s > 0 else (state > t):
+            out[at : k + 1] = state
+            state, at = p, k + 1
+    out[at:] = state
+    return out
+
+
+def summary(prop: np.ndarray, bound: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The composed map of some steps as (side, record bound, state left behind), in the order in which a chain meets them.
+
+    A chain that enters with x takes the first record that x satisfies, and
+    leaves with that record's state; if x satisfies none, it leaves with x.
+    """
+    n = len(prop)
+    leaves = np.empty(n)
+    # From the back: a chain that takes step k leaves with the state that the next step it takes leaves.  The stacks
+    # hold what a chain coming from the front meets, the nearest last: (bound, state left behind, step).
+    firsts: list[tuple[float, float, int]] = []
+    above: list[tuple[float, float, int]] = []
+    for k in range(n - 1, -1, -1):
+        p, t = float(prop[k]), float(bound[k])
+        if k + 1 < n:
+            hits = [_first(firsts, p), _first_above(above, p)]
+            hits = [h for h in hits if h is not None]
+            leaves[k] = min(hits, key=lambda h: h[0])[1] if hits else p
+        else:
+            leaves[k] = p
+        if side[k] > 0:
+            while firsts and firsts[-1][0] <= t:  # hidden behind this one for whoever comes from the front
+                firsts.pop()
+            firsts.append((t, leaves[k], k))
+        else:
+            while above and above[-1][0] >= t:
+                above.pop()
+            above.append((t, leaves[k], k))
+    records = sorted([(k, 1, t, v) for t, v, k in firsts] + [(k, -1, t, v) for t, v, k in above])
+    return tuple(np.array([r[i] for r in records], float) for i in (1, 2, 3))
+
+
+def _first(stack: list[tuple[float, float, int]], x: float) -> tuple[int, float] | None:
+    """(step, state left behind) of the first step with a bound above ``x``; bounds grow towards the bottom of the stack."""
+    low, high = 0, len(stack)  # stack[:low] are above x
+    while low < high:
+        mid = (low + high) // 2
+        if stack[mid][0] > x:
+            low = mid + 1
+        else:
+            high = mid
+    return (stack[low - 1][2], stack[low - 1][1]) if low else None
+
+
+def _first_above(stack: list[tuple[float, float, int]], x: float) -> tuple[int, float] | None:
+    """As ``_first`` for bounds that must lie below ``x``; they fall towards the bottom of the stack."""
+    low, high = 0, len(stack)
+    while low < high:
+        mid = (low + high) // 2
+        if stack[mid][0] < x:
+            low = mid + 1
+        else:
+            high = mid
+    return (stack[low - 1][2], stack[low - 1][1]) if low else None
+
+
+def _met(sides: np.ndarray, bounds: np.ndarray, leaves: np.ndarray, x: float) -> float:
+    """What a summary makes of ``x``."""
+    hit = np.flatnonzero(np.where(sides > 0, x < bounds, x > bounds))
+    return float(leaves[hit[0]]) if len(hit) else x
+
+
+def _figures(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    prop, alpha, old, new, u = (
+        rows.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("prop_logp", "alpha", "logq_old", "logq_new", "u")
+    )
+    return (prop, *thresholds(alpha, prop, old - new, u))
+
+
+def replay(steps: DataFrame, segment_rows: int = SEGMENT_STEPS) -> DataFrame:
+    """Run each chain again from its proposals and draws alone, whatever state its log claims.
+
+    Adds ``replay_logp``, the state each step finds (a block starts with its
+    first logged value), and ``replay_accepted``.  ``step`` must order a block;
+    NULL chains and blocks are chains and blocks of their own.  A step with a
+    missing figure never takes its proposal; a block whose first value is
+    missing has no state until it takes one, and a missing state takes nothing.
+
+    A block may hold most of the log.  It is cut into segments of at most
+    ``segment_rows`` rows; each is summed up by the thresholds that a chain can
+    meet in it first (about the logarithm of its rows, unless the thresholds
+    keep rising); the summaries are walked through block by block, and then all
+    segments are replayed at once, each from the state that enters it.
+    """
+    logged = _in_segments(steps, segment_rows)
+    keys = ["chain_id", "block", "_segment"]
+    kinds = {f.name: f.dataType.simpleString() for f in logged.schema.fields}
+    key_kinds = ", ".join(f"{k} {kinds[k]}" for k in keys)
+
+    def sum_up(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_place")
+        found = summary(*_figures(rows))
+        first = rows.column("cur_logp").cast(pa.float64())[0].as_py()
+        return pa.table(
+            [*(rows.column(k).slice(0, 1) for k in keys), pa.array([first], pa.float64()), *(pa.array([a.tolist()], pa.list_(pa.float64())) for a in found)],
+            names=[*keys, "first", "sides", "bounds", "leaves"],
+        )
+
+    def walk_summaries(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_segment")
+        first = rows.column("first")[0].as_py()
+        x, entries = np.nan if first is None else first, []
+        for sides, bounds, leaves in zip(*(rows.column(c) for c in ("sides", "bounds", "leaves"))):
+            entries.append(x)
+            x = _met(*(np.array(a.as_py(), float) for a in (sides, bounds, leaves)), x)
+        return rows.select(keys).append_column("_entry", pa.array(entries, pa.float64()))
+
+    def run_again(rows: pa.Table, entry: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_place")
+        prop, bound, side = _figures(rows)
+        state = walk(entry.column("_entry")[0].as_py() if entry.num_rows else np.nan, prop, bound, side)[:-1]
+        took = np.where(side > 0, state < bound, state > bound)
+        return rows.append_column("replay_logp", pa.array(state, mask=np.isnan(state))).append_column("replay_accepted", pa.array(took))
+
+    narrow = logged.select(*keys, "_place", "cur_logp", "prop_logp", "alpha", "logq_old", "logq_new", "u")
+    summaries = narrow.groupBy(*keys).applyInArrow(
+        sum_up, f"{key_kinds}, first double, sides array<double>, bounds array<double>, leaves array<double>"
+    )
+    entries = summaries.groupBy("chain_id", "block").applyInArrow(walk_summaries, f"{key_kinds}, _entry double")
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    return (
+        logged.groupBy(*keys).cogroup(entries.groupBy(*keys))
+        .applyInArrow(run_again, f"{columns}, replay_logp double, replay_accepted boolean")
+        .drop("_segment", "_place")
+    )

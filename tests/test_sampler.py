@@ -1,12 +1,17 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from answerloom.operators.sampler import (
     accept_rate,
     block_schedule,
     carried_state,
+    replay,
+    summary,
+    thresholds,
+    walk,
     with_acceptance,
 )
 
@@ -83,3 +88,65 @@ def test_block_schedule(spark):
     df = spark.createDataFrame([("a", 400), ("b", 192), ("c", 1), ("d", 0)], "id STRING, length LONG")
     got = sorted((r.id, r.block, r.block_end) for r in block_schedule(df, 192).collect())
     assert got == [("a", 1, 192), ("a", 2, 384), ("a", 3, 400), ("b", 1, 192), ("c", 1, 1)]
+
+
+@pytest.mark.parametrize("segment", [1, 7, 64, 100_000])
+def test_replay_does_not_look_at_the_logged_states(spark, log, segment):
+    """Only the first value of a block counts; all others are noise here."""
+    rows, states, accepted = log
+    pick = random.Random(1)
+    blind = [(*r[:5], r[5] if r[2] == 0 else pick.uniform(-99, 99), *r[6:]) for r in rows]
+    got = replay(spark.createDataFrame(blind, SCHEMA).repartition(5), segment)
+    assert got.columns == [c.split()[0] for c in SCHEMA.split(", ")] + ["replay_logp", "replay_accepted"]
+    got = got.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.replay_logp == states[r.chain_id, r.block, r.step]
+    assert sum(r.replay_accepted for r in got) == sum(accepted.values())
+
+
+def direct(x, alpha, prop, dq, u):
+    figures = (alpha, prop, dq, u)
+    if any(f is None or math.isnan(f) for f in figures):
+        return False
+    la = alpha * (prop - x) + dq
+    return la > -math.inf if u <= 0 else math.log(u) < min(0.0, la)
+
+
+def test_summaries_and_walks_against_single_steps():
+    """Signs of alpha, zero, missing figures and draws at the edges, from many entry states."""
+    pick = random.Random(8)
+    for trial in range(300):
+        n = pick.randrange(1, 12)
+        rows = [
+            (
+                pick.choice([4.0, 1.0, 0.5, 0.0, -1.0]) if trial % 2 else 2.0, pick.choice([pick.uniform(-5, 5), -3.0, float("nan")]),
+                pick.uniform(-2, 2), pick.choice([pick.random(), pick.random() * 0.01, 0.0, 1.0, float("nan")]),
+            )
+            for _ in range(n)
+        ]
+        alpha, prop, dq, u = (np.array(c, float) for c in zip(*rows))
+        bound, side = thresholds(alpha, prop, dq, u)
+        sides, bounds, leaves = summary(prop, bound, side)
+        for x in [pick.uniform(-8, 8) for _ in range(6)] + [-100.0, 100.0]:
+            state, before = x, []
+            for r in rows:
+                before.append(state)
+                if direct(state, *r):
+                    state = r[1]
+            assert walk(x, prop, bound, side).tolist() == [*before, state]
+            hit = [v for s, t, v in zip(sides, bounds, leaves) if (x < t if s > 0 else x > t)]
+            assert (hit[0] if hit else x) == state
+
+
+def test_replay_of_odd_rows(spark):
+    none = None
+    rows = [
+        (none, none, 1, 2.0, -1.0, -5.0, 0.0, 0.0, 0.5),
+        (none, none, 2, 2.0, none, -9.0, 0.0, 0.0, 0.5),
+        (1, 1, none, 2.0, -2.0, none, 0.0, 0.0, 0.5),
+        (1, 1, 5, 2.0, -1.0, -7.0, 0.0, 0.0, 0.5),
+    ]
+    got = {(r.chain_id, r.step): (r.replay_logp, r.replay_accepted) for r in replay(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(none, 1): (-5.0, True), (none, 2): (-1.0, False), (1, none): (none, False), (1, 5): (none, False)}
+    assert replay(spark.createDataFrame([], SCHEMA)).collect() == []
