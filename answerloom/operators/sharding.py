@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from answerloom.functions.columns import let
 
 
 def natural(name: Column) -> Column:
@@ -55,29 +59,77 @@ def shared_folder(spark: SparkSession) -> str:
     ).rstrip("/")
 
 
-def with_position(df: DataFrame, *order: str, out: str = "position", path: str | None = None) -> DataFrame:
+# A range holds about so many rows, and there are never more ranges than that.
+RANGE_ROWS, MOST_RANGES = 1 << 20, 4096
+# Keys drawn for each range, from which the cuts between ranges are taken.
+DRAWN = 20
+
+
+def range_cuts(df: DataFrame, order: Sequence[str], range_rows: int = RANGE_ROWS, most: int = MOST_RANGES) -> list[Row]:
+    """Keys that cut ``df`` into ranges of about ``range_rows`` rows; at most ``most - 1``, in order, each once.
+
+    They are drawn from a random sample, of which ``DRAWN`` keys for each range
+    reach the driver: a bound that does not depend on the table.
+    """
+    total = df.count()
+    ranges = min(-(-total // range_rows), most)
+    if ranges <= 1:
+        return []
+    wanted = ranges * DRAWN
+    keys = df.select(*order).sample(min(1.0, wanted / total), seed=7).sort(*order).limit(2 * wanted).collect()
+    cuts = keys[DRAWN::DRAWN][: ranges - 1]
+    return [cut for k, cut in enumerate(cuts) if not k or cut != cuts[k - 1]]
+
+
+def range_of(order: Sequence[str], cuts: Sequence[Row], schema: StructType) -> Column:
+    """The range of a row: the number of cuts up to its key, found in two steps of about the root of all cuts."""
+    if not cuts:
+        return F.lit(0)
+    key = F.struct(*order)
+
+    def literal(cut: Row) -> Column:
+        return F.struct(*(F.lit(v).cast(schema[name].dataType).alias(name) for name, v in zip(order, cut)))
+
+    width = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[k : k + width] for k in range(0, len(cuts), width)]
+    firsts = F.array(*(literal(g[0]) for g in groups))
+    rests = F.array(*(F.array(*map(literal, g)) for g in groups))
+
+    def upto(some: Column, value: Column) -> Column:
+        return F.size(F.filter(some, lambda cut: cut <= value))
+
+    def found(value: Column) -> Column:
+        return let(
+            upto(firsts, value),
+            lambda g: F.when(g == 0, F.lit(0)).otherwise((g - 1) * width + upto(F.get(rests, g - 1), value)),
+        )
+
+    return let(key, found)
+
+
+def with_position(
+    df: DataFrame, *order: str, out: str = "position", range_rows: int = RANGE_ROWS, most_ranges: int = MOST_RANGES
+) -> DataFrame:
     """Each row's dense 0-based position in the given order, which must tell all rows apart.
 
-    The rows are range-partitioned, sorted within the partitions and written,
-    with the number of their partition and their place in it; no task ever
-    holds more than its range, and the numbers stay the same if an executor is
-    lost.  This happens at once, when the function is called.  ``path`` is the
-    folder written to, for callers that want to remove it; by default it is a
-    new one below the shared folder, which keeps it as long as it keeps
-    checkpoints.
+    The table is counted and cuts between ranges of keys are drawn when the
+    function is called; both read the keys alone.  After that nothing is written
+    and nothing random is left: the rows of each range are counted in one small
+    table, and a row's position is its place in its range plus the rows of the
+    ranges before it.  A range is what one task sorts; a task that runs again
+    gives the same positions.
     """
-    spark = df.sparkSession
-    parts = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
+    cuts = range_cuts(df, order, range_rows, most_ranges)
+    ranged = df.withColumn("_range", range_of(order, cuts, df.schema))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most most_ranges rows
+    offsets = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_range").orderBy(*order)
+    placed = ranged.withColumn("_row", F.row_number().over(within) - 1)
+    return (
+        placed.join(F.broadcast(offsets), "_range")
+        .withColumn(out, F.col("_row") + F.col("_before")).drop("_range", "_row", "_before")
     )
-    path = path or f"{shared_folder(spark)}/positions-{uuid.uuid4().hex}"
-    place = F.monotonically_increasing_id()
-    sorted_rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    sorted_rows.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_row", place.bitwiseAND(F.lit((1 << 33) - 1))
-    ).write.parquet(path)
-    return _numbered(spark.read.parquet(path), "_part", F.col("_part"), out)
 
 
 def take_shard(

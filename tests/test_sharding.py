@@ -71,3 +71,19 @@ def test_problem_shards_follow_the_file(spark, tmp_path):
     unordered = [r for s in range(3) for r in prompts_for_shard(read_problems(spark, str(tmp_path)), s, 3).collect()]
     assert sorted(r.position for r in unordered) == list(range(len(ids)))
     assert [r.example_id for r in sorted(unordered, key=lambda r: r.position)] == sorted(i or "" for i in ids)
+
+
+@pytest.mark.parametrize("range_rows, most", [(1000, 64), (7, 4096), (1, 50), (10**6, 2)])
+def test_positions_over_many_ranges(spark, range_rows, most):
+    """Two key columns with NULLs and text; the numbers do not depend on the ranges, nor is anything written."""
+    rows = [(None if k % 11 == 0 else f"é{k % 23}", k if k % 5 else None, k) for k in range(700)]
+    df = spark.createDataFrame(rows, "a string, b long, id long").repartition(6)
+    placed = with_position(df, "a", "b", "id", range_rows=range_rows, most_ranges=most)
+    want = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0, r[2]))
+    assert [(r.a, r.b, r.id) for r in sorted(placed.collect(), key=lambda r: r.position)] == want
+    assert sorted(r.position for r in placed.collect()) == list(range(700))
+    assert "parquet" not in placed._jdf.queryExecution().toString().lower()
+
+
+def test_positions_of_an_empty_table(spark):
+    assert with_position(spark.range(0), "id").collect() == []
