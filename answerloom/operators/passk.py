@@ -29,14 +29,17 @@ def pass_at_k_per_example(counts: DataFrame, max_k: int) -> DataFrame:
     )
 
 
-def pass_at_k_grid(counts: DataFrame, max_k: int) -> DataFrame:
-    """Mean pass@k per (method, k), NULL where no example has k samples.
+def outcome_shapes(counts: DataFrame) -> DataFrame:
+    """How many examples each method has with ``n`` samples, ``c`` of them correct."""
+    return counts.groupBy("method", "n", "c").agg(F.count("*").alias("examples"))
+
+
+def grid_of_shapes(shapes: DataFrame, max_k: int) -> DataFrame:
+    """Mean pass@k per (method, k) of ``shapes`` (method, n, c, examples), NULL where no example has k samples.
 
-    pass@k depends on (n, c) only.  The examples are therefore counted per
-    (method, n, c) first, and the k values are unfolded over that small table
-    instead of over every example.
+    pass@k depends on (n, c) only, so the k values are unfolded over this small
+    table instead of over every example.
     """
-    shapes = counts.groupBy("method", "n", "c").agg(F.count("*").alias("examples"))
     points = shapes.select(
         "*", F.explode(F.sequence(F.lit(1), F.lit(max_k))).alias("k")
     ).withColumn("value", pass_at_k(F.col("n"), F.col("c"), F.col("k")))
@@ -47,6 +50,11 @@ def pass_at_k_grid(counts: DataFrame, max_k: int) -> DataFrame:
     )
 
 
+def pass_at_k_grid(counts: DataFrame, max_k: int) -> DataFrame:
+    """Mean pass@k per (method, k), NULL where no example has k samples."""
+    return grid_of_shapes(outcome_shapes(counts), max_k)
+
+
 def pass_at_k_curve(counts: DataFrame, max_k: int) -> DataFrame:
     """The grid without the points that no example supports."""
     return pass_at_k_grid(counts, max_k).filter(F.col("pass_at_k").isNotNull())

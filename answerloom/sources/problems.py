@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.operators.sharding import natural
+from answerloom.sources.exact import write_lines
 from answerloom.sources.schemas import PROBLEM_SCHEMA
 
 
@@ -38,8 +39,16 @@ def _has_lines(spark: SparkSession, path: str) -> bool:
 
 
 def cache_problems(problems: DataFrame, path: str) -> DataFrame:
-    """Write once: keep what is at ``path`` unless it is missing or empty."""
+    """Write once: keep what is at ``path`` unless it is missing or empty.
+
+    The problems, a set for one benchmark, become the one file
+    ``problems.jsonl`` there, moved into place when it is complete.  So of two
+    jobs that find nothing the later one replaces the earlier one's file by its
+    own whole one, and no reader sees half a set or both.
+    """
     spark = problems.sparkSession
     if not _has_lines(spark, path):
-        problems.write.mode("overwrite").json(path)
+        order = [F.col(c).asc_nulls_last() for c in problems.columns]
+        lines = problems.select("*", F.lit("problems.jsonl").alias("file"), F.to_json(F.struct(*problems.columns)).alias("line"))
+        write_lines(lines, path, *order)
     return read_problems(spark, path)

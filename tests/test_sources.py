@@ -16,6 +16,7 @@ from answerloom.sources.runs import (
     read_landed,
     read_runs,
     write_run_csv,
+    write_run_files,
 )
 from answerloom.sources.schemas import RUN_SCHEMA, SCORES_SCHEMA
 from answerloom.sources.sweeps import read_sweep
@@ -95,6 +96,33 @@ def test_one_folder_may_mix_headers(spark, tmp_path):
         assert (r.note, r.method) == (("hi", None) if r.seed == 2 else (None, "base"))
 
 
+def test_folders_with_the_name_of_the_given_one(spark, tmp_path):
+    root = tmp_path / "runs"
+    write_run(root / "base" / "runs", "a.csv", run_rows())
+    write_run(root / "runs" / "runs", "b + c%20 d.csv", run_rows(seed=1))
+    write_run(root, "e.csv", run_rows(seed=2))
+    seeds = lambda path, contains: sorted({r.seed for r in read_runs(spark, str(path), contains=contains).collect()})
+    assert seeds(root, "base") == [0] and seeds(root, "") == [0, 1, 2]
+    assert seeds(root, "runs") == [0, 1]  # the path itself does not count
+    assert seeds(root, "b + c%20") == [1] and seeds(root / "runs", "runs/b") == [1]
+    assert seeds(tmp_path / "r*", "base") == [0]
+    with pytest.raises(FileNotFoundError):
+        read_runs(spark, str(root), str(root / "base"), contains="e.csv")
+
+
+def test_many_files_are_read_in_one_scan(spark, tmp_path):
+    columns = list(run_rows()[0])
+    layouts = [columns, columns[::-1], ["note", "seed", "gold"]]
+    for k in range(300):
+        write_run(tmp_path / f"d{k % 7}", f"r{k}.csv", run_rows(seed=k, n=1, note="x"), layouts[k % 3])
+    runs = read_runs(spark, str(tmp_path))
+    text = runs._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan csv") == 1 and "Union" not in text
+    assert sorted((r.seed, r.gold, r.note, r.method) for r in runs.collect()) == [
+        (k, "6", "x" if k % 3 == 2 else None, None if k % 3 == 2 else "base") for k in range(300)
+    ]
+
+
 def test_written_runs_are_found_by_name(spark, tmp_path):
     df = spark.createDataFrame(pd.DataFrame(run_rows() + run_rows(seed=1)), RUN_SCHEMA)
     write_run_csv(df, str(tmp_path / "out"), num_shards=2)
@@ -220,3 +248,50 @@ def test_sweep_directories(spark, tmp_path):
         (tmp_path / f"nmcmc_{k}" / "per_example.jsonl").write_text("\n".join(lines))
     sweep = sweep_accuracy(read_sweep(spark, str(tmp_path)), correct="correct")
     assert sorted(map(tuple, sweep.collect())) == [(1, 2, 50.0), (10, 2, 100.0)]
+
+
+def test_run_files_have_exact_names(spark, tmp_path):
+    rows = run_rows(n=4) + run_rows(seed=1) + run_rows("power_mh", n=2)
+    df = spark.createDataFrame(pd.DataFrame(rows), RUN_SCHEMA).repartition(5)
+    out = str(tmp_path / "out")
+    write_run_files(df, out, "example_id", num_shards=2)
+    names = [f"T__org_m__{m}__seed{s}__shard0of2.csv" for m, s in (("base", 0), ("base", 1), ("power_mh", 0))]
+    assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == names
+    frame = pd.read_csv(f"{out}/{names[0]}")  # a reader without Spark
+    assert list(frame.columns) == df.columns and list(frame.example_id) == ["e0", "e1", "e2", "e3"]
+    assert set(frame.completion) == {COMPLETION}
+    back = read_runs(spark, out)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect())) and back.schema == df.schema
+    assert read_runs(spark, out, contains="__seed1__").count() == 3
+    write_run_files(df.filter("seed = 1").withColumn("gold", F.lit("8")), out, num_shards=2)  # replaced, the others stay
+    assert {r.gold for r in read_runs(spark, out, contains="__seed1__").collect()} == {"8"}
+    assert read_runs(spark, out).count() == 9
+
+
+def test_a_job_that_dies_leaves_no_file(spark, tmp_path):
+    """One task fails for good when others have written their files already."""
+    out = tmp_path / "out"
+    df = spark.createDataFrame(pd.DataFrame(run_rows() + run_rows(seed=1) + run_rows(seed=2)), RUN_SCHEMA)
+    broken = df.withColumn("gold", F.when(F.col("seed") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("gold")))
+    with pytest.raises(Exception, match="lost"):
+        write_run_files(broken, str(out))
+    assert not out.exists() or [f for f in os.listdir(out) if not f.startswith(".")] == []
+    left = out / "_staged-abc"
+    left.mkdir(parents=True)
+    (left / "x.csv").write_text("half")
+    write_run_files(df, str(out))
+    assert read_runs(spark, str(out)).count() == 9
+
+
+def test_report_files(spark, tmp_path):
+    from answerloom.sources.sinks import write_report_files
+
+    graded = grade_runs(spark.createDataFrame(pd.DataFrame(run_rows(n=30)), RUN_SCHEMA))
+    write_report_files(graded, str(tmp_path / "a"))
+    scores = json.loads((tmp_path / "a" / "scores.json").read_text())
+    assert scores == {"n": 30, "accuracy": 0.5, "accuracy_by_method": {"base": 0.5}, "accuracy_by_seed": {"0": 0.5}}
+    records = [json.loads(line) for line in (tmp_path / "a" / "per_example.jsonl").read_text().splitlines()]
+    assert len(records) == 30 and records == sorted(records, key=lambda r: r["example_id"])
+    write_report_files(graded, str(tmp_path / "b"), parts=4)
+    files = sorted(f for f in os.listdir(tmp_path / "b") if f.startswith("per_example"))
+    assert 1 < len(files) <= 4 and sum(len((tmp_path / "b" / f).read_text().splitlines()) for f in files) == 30
