@@ -39,11 +39,12 @@ def plan(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_stays_scalable(spark, name):
     text = plan(spark, name)
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
-    # Python only sees answers nested beyond the written-out depth, and NULL for all others.
-    if "ArrowEvalPython" in text:
-        assert name.startswith(("grade", "accuracy", "method_series", "sweep", "scores", "per_example", "outcome", "pass_at_k", "replace"))
+    # Replaying a chain walks through its steps in Arrow batches; everything else stays on the JVM side.
+    if name != "mh_replay":
+        for operator in ("EvalPython", "InPandas", "InArrow"):
+            assert operator not in text
 
 
 @pytest.mark.parametrize("name", ["grade_runs", "grade_simple", "extract_robust", "per_example",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.queries import MAX_K, NUM_SHARDS, SHARD_HEAD, SHARD_ID, TEMPERATURE
-from workload.standins import MH_STEPS, PAIRS, RUNS, SOLUTIONS, TOKENS
+from workload.standins import EXPRESSIONS, MH_BLIND, MH_STEPS, PAIRS, RUNS, SOLUTIONS, TOKENS
 
 ORACLES: dict[str, str] = {}
 
@@ -126,11 +126,24 @@ def both(p: str, g: str, left: str, right: str) -> str:
     )
 
 
+def leaves(b: str) -> str:
+    """Depth and value of everything between the brackets, sorted; in towers these tell whether two agree."""
+    tokens = f"regexp_extract_all({b}, '[(){{}},]|[^(){{}},]+')"
+    depth = "len(list_filter(t[:i], lambda x: x IN ('(', '{'))) - len(list_filter(t[:i], lambda x: x IN (')', '}')))"
+    value = "coalesce(CAST(TRY_CAST(t[i] AS DOUBLE) AS VARCHAR), t[i])"
+    return (
+        f"(SELECT list_sort(list_transform(list_filter(range(1, len(t) + 1), lambda i: NOT regexp_matches(t[i], '^[(){{}},]$')), "
+        f"lambda i: concat({depth}, ':', {value}))) FROM (SELECT {tokens} AS t))"
+    )
+
+
 MATCH = f"""CASE
   WHEN {trim("coalesce(pred, '')")} = '' OR {trim("coalesce(gold, '')")} = '' THEN false
   WHEN p0 = g0 THEN true
   WHEN regexp_matches(g0, '[A-Za-z]') AND NOT regexp_matches(g0, '[0-9=+\\-*/^]')
     THEN {text_of('p0')} = {text_of('g0')}
+  WHEN regexp_matches(g0, '^([(][{{]|[({{][0][,])') AND {both('p0', 'g0', '(', ')')} OR {both('p0', 'g0', '{', '}')} AND starts_with(g0, '{{0,')
+    THEN {leaves('p0')} = {leaves('g0')}
   WHEN {both('p0', 'g0', '(', ')')} AND len({parts('p0')}) = len({parts('g0')})
     THEN list_bool_and(list_transform(list_zip({parts('p0')}, {parts('g0')}), lambda z:
       CASE WHEN {both('z[1]', 'z[2]', '(', ')')}
@@ -222,17 +235,22 @@ SELECT source, id,
        text AS part
 FROM joined WHERE text <> ''"""
 
+# The very deep commands, whose outcome is known, stand in front.
+_DEEP = "concat(repeat('{', 50), gold, repeat('}', 50))"
+_FRONT = "CASE WHEN seed IS NULL THEN concat({}, CASE WHEN text <> '' THEN '+' ELSE '' END) ELSE '' END"
+_DEEP_FRAC = _FRONT.format(f"'((', {_DEEP}, '))/((7))+\\sqrt{{', {_DEEP}, '}}'")
+_DEEP_ROOT = _FRONT.format(f"'\\dfrac{{', {_DEEP}, '}}{{7}}+sqrt((', {_DEEP}, '))'")
 LATEX_SUM = """SELECT method, seed, example_id, gold, concat_ws('+', completion,
   concat('\\dfrac{{', gold, '}}{\\sqrt{2}}'), concat('\\sqrt{x+\\sqrt{', gold, '}}'),
   CASE WHEN seed = 1 THEN '\\sqrt{open \\sqrt{3} \\frac{4}' END) AS text FROM runs"""
 ORACLES["replace_frac"] = f"""{cte(runs=RUNS, sums=LATEX_SUM)}
-SELECT {RUN_KEYS}, regexp_replace(text, '\\\\d?frac\\{{({NEST3})\\}}\\{{({NEST3})\\}}',
-  '((\\1))/((\\2))', 'g') AS expr FROM sums"""
+SELECT {RUN_KEYS}, concat({_DEEP_FRAC}, regexp_replace(text, '\\\\d?frac\\{{({NEST3})\\}}\\{{({NEST3})\\}}',
+  '((\\1))/((\\2))', 'g')) AS expr FROM sums"""
 # The stand-in's only unclosed root is the literal one at its end.
 _HEAD = "CASE WHEN seed = 1 THEN regexp_extract(text, '(?s)^(.*)\\\\sqrt\\{open', 1) ELSE text END"
 _ROOT = f"'\\\\sqrt\\{{({NEST3})\\}}', 'sqrt((\\1))', 'g'"
 ORACLES["replace_sqrt"] = f"""{cte(runs=RUNS, sums=LATEX_SUM)}
-SELECT {RUN_KEYS}, concat(regexp_replace(regexp_replace({_HEAD}, {_ROOT}), {_ROOT}),
+SELECT {RUN_KEYS}, concat({_DEEP_ROOT}, regexp_replace(regexp_replace({_HEAD}, {_ROOT}), {_ROOT}),
   CASE WHEN seed = 1 THEN '\\sqrt{{open \\sqrt{{3}} \\frac{{4}}' ELSE '' END) AS expr FROM sums"""
 
 # --- grading --------------------------------------------------------------
@@ -247,7 +265,10 @@ ORACLES["grade_equiv_column"] = (
     f"{GRADED_PAIRS} SELECT pair_id, {MATCH} AS matches FROM bared"
 )
 ORACLES["grade_runs"] = f"{GRADED} SELECT {RUN_KEYS}, pred_eval, correct_eval FROM graded"
-ORACLES["grade_dedup"] = ORACLES["grade_runs"]
+ORACLES["grade_dedup"] = ORACLES["grade_memo"] = ORACLES["grade_runs"]
+# All shapes are equal where their numbers are, but for the root and the equation, which stay texts.
+ORACLES["grade_identity"] = f"""{cte(expressions=EXPRESSIONS)}
+SELECT pair_id, pred, gold, CAST(same AND shape NOT IN (6, 8) AS INT) AS correct FROM expressions"""
 ORACLES["grade_dedup_counts"] = f"""{GRADED}
 SELECT method, seed, count(*) AS n, CAST(sum(correct_eval) AS BIGINT) AS c
 FROM graded GROUP BY method, seed"""
@@ -324,7 +345,7 @@ FROM graded"""
 ORACLES["merge_runs"] = f"""{cte(runs=RUNS)}
 SELECT method, example_id, seed, completion,
        CASE WHEN method <> 'base' THEN gold END AS gold,
-       CASE WHEN method = 'power_mh' THEN n_mcmc END AS n_mcmc FROM runs WHERE method IS NOT NULL"""
+       CASE WHEN method = 'power_mh' THEN n_mcmc END AS n_mcmc FROM runs"""
 ORACLES["run_params"] = f"""{cte(runs=RUNS)}
 SELECT method, seed, example_id, CAST(4 AS DOUBLE) AS alpha,
        CAST(CASE method WHEN 'power_mh' THEN 192 ELSE 0 END AS INT) AS B,
@@ -409,6 +430,19 @@ carried AS (
 SELECT chain_id, block, step, round(expected, 9) AS expected_logp,
        abs(expected - cur_logp) <= 1e-9 AS consistent FROM carried"""
 
+# Step by step, each from the state that the one before it leaves.
+ORACLES["mh_replay"] = f"""WITH RECURSIVE steps AS ({MH_BLIND}),
+placed AS (SELECT *, row_number() OVER (PARTITION BY chain_id, block ORDER BY step) AS place FROM steps),
+walk AS (
+  SELECT chain_id, block, place, cur_logp AS x FROM placed WHERE place = 1
+  UNION ALL
+  SELECT w.chain_id, w.block, w.place + 1,
+    CASE WHEN u <= 0 OR ln(nullif(u, 0)) < least(0.0, alpha * (prop_logp - x) + (logq_old - logq_new)) THEN prop_logp ELSE x END
+  FROM walk w JOIN placed p USING (chain_id, block, place))
+SELECT chain_id, block, step, round(x, 9) AS replay_logp,
+  u <= 0 OR ln(nullif(u, 0)) < least(0.0, alpha * (prop_logp - x) + (logq_old - logq_new)) AS replay_accepted
+FROM walk JOIN placed USING (chain_id, block, place)"""
+
 _METHOD = "CASE doc_id % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'lowtemp' ELSE 'power_mh' END"
 ORACLES["run_rows"] = f"""
 WITH likelihoods AS ({ORACLES["suffix_logprob"]}), entropies AS ({ORACLES["avg_entropy"]}),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from answerloom.functions import extraction, normalization, prompts
 from answerloom.functions.columns import let
 from answerloom.functions.equivalence import answers_match
-from answerloom.operators import grading, likelihood, metrics, passk, sampler, sharding
+from answerloom.operators import grading, likelihood, memo, metrics, passk, sampler, sharding
 from answerloom.operators import runs as run_tables
 from answerloom.plans.pass_at_k import pass_at_k_report
-from workload.standins import mh_steps, pairs, runs, solutions, tokens
+from workload.standins import expressions, mh_blind, mh_steps, pairs, runs, solutions, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,10 +149,12 @@ def split_commas(spark, sf_dir):
 
 
 def _latex_sum(spark, sf_dir) -> DataFrame:
-    """Run completions joined with a nested and an unclosed command."""
+    """Run completions joined with a nested, an unclosed and, where no seed is known, a very deep command."""
     gold = F.coalesce("gold", F.lit(""))
+    deep = F.concat(F.repeat(F.lit("{"), F.lit(50)), gold, F.repeat(F.lit("}"), F.lit(50)))
+    deeper = F.concat(F.lit("\\dfrac{"), deep, F.lit("}{7}+\\sqrt{"), deep, F.lit("}"))
     text = F.concat_ws(
-        "+", "completion", F.concat(F.lit("\\dfrac{{"), gold, F.lit("}}{\\sqrt{2}}")),
+        "+", F.when(F.col("seed").isNull(), deeper), "completion", F.concat(F.lit("\\dfrac{{"), gold, F.lit("}}{\\sqrt{2}}")),
         F.concat(F.lit("\\sqrt{x+\\sqrt{"), gold, F.lit("}}")),
         F.when(F.col("seed") == 1, F.lit("\\sqrt{open \\sqrt{3} \\frac{4}")),
     )
@@ -214,6 +217,23 @@ def grade_dedup_counts(spark, sf_dir):
     return grading.correct_counts_once_per_pair(runs(spark, sf_dir), "method", "seed")
 
 
+@query
+def grade_identity(spark, sf_dir):
+    """Grades that also know when two expressions are one rational function."""
+    return grading.with_match(expressions(spark, sf_dir), "pred", "gold", "correct", identities=True).select(
+        "pair_id", "pred", "gold", "correct"
+    )
+
+
+@query
+def grade_memo(spark, sf_dir):
+    """Two evaluations with one memo: the second one grades only the pairs that the first did not have."""
+    path = f"{sharding.shared_folder(spark)}/grades-{uuid.uuid4().hex}"
+    table = runs(spark, sf_dir)
+    memo.grade_runs_with_memo(table.filter("method = 'base'"), path, "first")
+    return memo.grade_runs_with_memo(table, path, "second").select(*RUN_KEYS, "pred_eval", "correct_eval")
+
+
 # --- accuracy -------------------------------------------------------------
 
 
@@ -333,16 +353,17 @@ def pass_at_k_orders(spark, sf_dir):
 
 @query
 def merge_runs(spark, sf_dir):
-    """Runs with different columns: only chains have ``n_mcmc``, base has no gold."""
+    """Runs with different columns: only chains have ``n_mcmc``, base and runs without a method have no gold."""
     table = runs(spark, sf_dir)
 
-    def of(method: str) -> DataFrame:
-        return table.filter(F.col("method") == method)
+    def of(method: str | None) -> DataFrame:
+        return table.filter(F.col("method").eqNullSafe(F.lit(method)))
 
     return run_tables.merge_runs(
         of("base").select("method", "example_id", "seed", "completion"),
         of("lowtemp").select("seed", "method", "gold", "completion", "example_id"),
         of("power_mh").select("n_mcmc", "method", "seed", "example_id", "gold", "completion"),
+        of(None).select("completion", "seed", "example_id"),
     )
 
 
@@ -501,3 +522,11 @@ def mh_state_carry(spark, sf_dir):
         rounded("expected_logp").alias("expected_logp"),
         "consistent",
     )
+
+
+@query
+def mh_replay(spark, sf_dir):
+    """A log that claims other states than its own proposals and draws lead to; short segments again."""
+    return sampler.replay(mh_blind(spark, sf_dir), segment_rows=40).select(
+        "chain_id", "block", "step", rounded("replay_logp").alias("replay_logp"), "replay_accepted"
+    )

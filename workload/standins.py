@@ -8,9 +8,13 @@ which keeps the texts free of either dialect's escapes.
 from __future__ import annotations
 
 import re
+import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+from answerloom.operators.sharding import shared_folder
+
 RUNS = """
 WITH b AS (
   SELECT CASE WHEN l_partkey % 89 = 7 THEN NULL WHEN l_returnflag = 'A' THEN 'base' WHEN l_returnflag = 'N' THEN 'lowtemp'
@@ -64,10 +68,10 @@ SELECT doc_id, lang, text AS problem, CAST(doc_id % 90 + 1 AS STRING) AS gold,
 FROM documents
 """
 
-# Prediction and gold pairs that reach every grading rule.
+# Prediction and gold pairs that reach every grading rule; the last four shapes nest them 1 to 13 deep.
 PAIRS = """
 WITH k AS (
-  SELECT o_orderkey AS pair_id, CAST(o_orderkey % 16 AS INT) AS shape,
+  SELECT o_orderkey AS pair_id, CAST(o_orderkey % 20 AS INT) AS shape, CAST(o_custkey % 12 + 1 AS INT) AS depth,
          CAST(o_custkey % 40 + 1 AS STRING) AS a, CAST(o_orderkey % 7 + 2 AS STRING) AS b,
          CAST(o_custkey % 40 + 1 + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS STRING) AS v
   FROM orders)
@@ -88,7 +92,10 @@ SELECT pair_id,
     WHEN 12 THEN concat('{(1,', a, '),(2,', b, ')}')
     WHEN 13 THEN concat(chr(92), 'mathrm{', chr(92), 'mathbf{P', a, '}}', chr(92), ',q')
     WHEN 14 THEN concat('$', a, '-', b, 'i$')
-    ELSE concat('(', a, ',', b, ',1)') END AS gold,
+    WHEN 15 THEN concat('(', a, ',', b, ',1)')
+    WHEN 17 THEN concat(repeat('{0,', depth), a, repeat('}', depth))
+    WHEN 18 THEN concat(repeat('({2,', depth), a, repeat('},1)', depth))
+    ELSE concat(repeat('(0,', depth), a, repeat(')', depth)) END AS gold,
   CASE shape
     WHEN 0 THEN concat(chr(92), '{', b, ', ', v, chr(92), '}')
     WHEN 1 THEN concat('{ x+', b, ' ,', b, '.0, ', v, ' }')
@@ -105,7 +112,11 @@ SELECT pair_id,
     WHEN 12 THEN concat('{(2,', b, '.0),(1,', v, ')}')
     WHEN 13 THEN concat('P', v, chr(92), ' q')
     WHEN 14 THEN CASE WHEN v = a THEN concat(a, ' - ', b, 'i') ELSE ' ' END
-    ELSE concat('(', a, ',', b, ')') END AS pred
+    WHEN 15 THEN concat('(', a, ',', b, ')')
+    WHEN 16 THEN concat(repeat('( 0.0 ,', depth), v, '.0', repeat(')', depth))
+    WHEN 17 THEN concat(repeat('{ ', depth), v, '.0', repeat(', 0 }', depth))
+    WHEN 18 THEN concat(repeat('({', depth), v, repeat(' , 2.0}, 1.0)', depth))
+    ELSE concat(repeat('(0,', CASE WHEN v = a THEN depth ELSE depth + 1 END), a, repeat(')', CASE WHEN v = a THEN depth ELSE depth + 1 END)) END AS pred
 FROM k
 """
 
@@ -139,6 +150,45 @@ SELECT chain_id, block, step, CAST(4.0 AS DOUBLE) AS alpha,
 FROM c
 """
 
+# Pairs of expressions: fractions, decimals, polynomials, one beyond rational functions, parts of a tuple.
+EXPRESSIONS = """
+WITH k AS (
+  SELECT o_orderkey AS pair_id, CAST(o_orderkey % 9 AS INT) AS shape, o_custkey % 40 + 1 AS a, o_orderkey % 7 + 2 AS b,
+         o_custkey % 40 + 1 + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS v
+  FROM orders)
+SELECT pair_id, shape, v = a AS same,
+  CASE shape
+    WHEN 0 THEN concat(chr(92), 'frac{', a, '}{', b, '}')
+    WHEN 1 THEN concat(a, '.5')
+    WHEN 2 THEN concat('(x+', a, ')(x-', b, ')')
+    WHEN 3 THEN concat('(x+', a, ')^2')
+    WHEN 4 THEN concat(chr(92), 'frac{x^2-', a * a, '}{x-', a, '}')
+    WHEN 5 THEN concat(a, chr(92), 'pi')
+    WHEN 6 THEN concat(chr(92), 'sqrt{', a, '}')
+    WHEN 7 THEN concat('(', a, '/2, {1, ', chr(92), 'frac{', a, '}{4}})')
+    ELSE concat('x=', a) END AS gold,
+  CASE shape
+    WHEN 0 THEN concat(3 * v, '/', 3 * b)
+    WHEN 1 THEN concat(chr(92), 'frac{', 2 * v + 1, '}{2}')
+    WHEN 2 THEN concat('x^2+', v - b, 'x-', v * b)
+    WHEN 3 THEN concat('x^{2}+', 2 * v, 'x+', v * v)
+    WHEN 4 THEN concat('x+', v)
+    WHEN 5 THEN concat(chr(92), 'pi ', chr(92), 'cdot ', v)
+    WHEN 6 THEN concat(chr(92), 'sqrt{', v, '}+0')
+    WHEN 7 THEN concat('(', v, '*0.5,{0.25*', v, ',2-1})')
+    ELSE concat('x=', v, '+0') END AS pred
+FROM k
+"""
+
+# A log whose decisions depend on the state and whose logged states do not tell it.
+MH_BLIND = """
+SELECT user_id AS chain_id, CAST(floor(event_id / 2500) AS BIGINT) AS block, event_id AS step, CAST(2.0 AS DOUBLE) AS alpha,
+       CAST(-(event_id * 31 % 1009) AS DOUBLE) / 100 - value / 1000 AS prop_logp, CAST(-(event_id % 11) AS DOUBLE) AS cur_logp,
+       CAST(event_id % 5 AS DOUBLE) / 4 AS logq_old, CAST(event_id % 3 AS DOUBLE) / 4 AS logq_new,
+       CASE WHEN event_id % 101 = 7 THEN 0.0 ELSE CAST(event_id * 7919 % 10007 + 1 AS DOUBLE) / 10009 END AS u
+FROM events
+"""
+
 TABLES = ("lineitem", "documents", "orders", "embeddings", "events", "conversations", "part")
 
 
@@ -177,5 +227,23 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_files(spark, TOKENS.format(double_array="ARRAY<DOUBLE>"), sf_dir)
 
 
+# The log of each session and directory, once written.
+_LOGS: WeakKeyDictionary[SparkSession, dict[str, str]] = WeakKeyDictionary()
+
+
 def mh_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_files(spark, MH_STEPS.format(inside="", outside=" IGNORE NULLS"), sf_dir)
+    """A log as a sampler leaves it behind: written once for each session, since deriving it takes a window over the chains."""
+    written = _LOGS.setdefault(spark, {})
+    if sf_dir not in written:
+        path = f"{shared_folder(spark)}/sampler-log-{uuid.uuid4().hex}"
+        from_files(spark, MH_STEPS.format(inside="", outside=" IGNORE NULLS"), sf_dir).write.parquet(path)
+        written[sf_dir] = path
+    return spark.read.parquet(written[sf_dir])
+
+
+def mh_blind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_files(spark, MH_BLIND, sf_dir)
+
+
+def expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_files(spark, EXPRESSIONS, sf_dir)
