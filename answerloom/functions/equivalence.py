@@ -141,8 +141,21 @@ def nested(bare: Column) -> Column:
 
 
 def level_by_level(further: Rule | None = None) -> Nested:
-    """The match for answers that are ``nested``; NULL where they cannot be taken apart."""
-    return nested_match(partial(bare_match, depth=BY_TEXTS, further=further), bare_form, LETTER, DIGIT_OR_OPERATOR, BELOW)
+    """The match for groups that are ``apart_from``; NULL where they cannot be taken apart."""
+    below, by_texts = (BELOW, BY_TEXTS) if further is None else (0, 0)
+    return nested_match(partial(bare_match, depth=by_texts, further=further), bare_form, LETTER, DIGIT_OR_OPERATOR, below)
+
+
+def written_out(p: Column, g: Column, further: Rule | None = None) -> Column:
+    """The cascade for all other answers; with a further rule, which makes it long, without any nesting."""
+    return bare_match(p, g, NESTING if further is None else 0, further)
+
+
+def apart_from(p: Column, g: Column, further: Rule | None = None) -> Column:
+    """Are both answers to be taken apart? The nested ones, and with a further rule all groups; may be NULL."""
+    if further is None:
+        return nested(p) & nested(g)
+    return (enclosed(p, "(", ")") & enclosed(g, "(", ")")) | (enclosed(p, "{", "}") & enclosed(g, "{", "}"))
 
 
 def answers_match(pred: Column, gold: Column, further: Rule | None = None) -> Column:
@@ -155,8 +168,8 @@ def answers_match(pred: Column, gold: Column, further: Rule | None = None) -> Co
     deeper_analysis()
 
     def matched(p: Column, g: Column) -> Column:
-        deep = F.when(nested(p) & nested(g), level_by_level(further).at_once(p, g))
-        return F.coalesce(deep, bare_match(p, g, further=further))
+        deep = F.when(apart_from(p, g, further), level_by_level(further).at_once(p, g))
+        return F.coalesce(deep, written_out(p, g, further))
 
     both = F.array(bare_form(pred), bare_form(gold))
     return F.when(is_blank(pred) | is_blank(gold), F.lit(False)).otherwise(let(both, lambda b: matched(b[0], b[1])))

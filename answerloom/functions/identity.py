@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from answerloom.functions.columns import let
-from answerloom.functions.normalization import bare_form, expression_form, fractions_inline
+from answerloom.functions.normalization import bare_form, expression_form_of_bare, fractions_inline
 
 # Primes below 2^31, so that a product of two remainders is a BIGINT, and the seeds of the points.
 POINTS = ((2147483647, 1), (2147483629, 2), (2147483587, 3))
@@ -25,17 +25,15 @@ TOKEN = r"\*\*|[0-9]+(?:\.[0-9]*)?|\.[0-9]+|[A-Za-z]+|[-+*/()]"
 VALUE = "struct<n:bigint,d:bigint,k:int>"
 
 
-def expression_tokens(answer: Column) -> Column:
-    """Numbers, symbols, operators and brackets, ``~`` for a sign; NULL if anything else occurs.
+def expression_tokens(bare: Column) -> Column:
+    """Numbers, symbols, operators and brackets of a bare answer, ``~`` for a sign; NULL if anything else occurs.
 
     A product that is not written out gets its ``*``.
     """
-    # Fractions are rewritten outermost first, so those within fractions take another round each.
-    bare = F.substring(bare_form(answer), 1, LONGEST + 1)
-    rounds = F.sequence(F.lit(0), F.regexp_count(bare, F.lit(r"frac\{")))
-    inline = F.aggregate(rounds, bare, lambda t, _: F.when(F.contains(t, F.lit("frac{")), fractions_inline(t)).otherwise(t))
-    text = F.regexp_replace(expression_form(inline), r"\\div(?![A-Za-z])", "/")
-    known = F.rlike(text, F.lit(rf"\A(?:{TOKEN})+\z")) & ~F.rlike(text, F.lit(r"\.[0-9]*\.")) & (F.length(bare) <= LONGEST)
+    text = F.regexp_replace(expression_form_of_bare(fractions_inline(bare, nested=True)), r"\\div(?![A-Za-z])", "/")
+
+    def looks_known(t: Column) -> Column:
+        return F.rlike(t, F.lit(rf"\A(?:{TOKEN})+\z")) & ~F.rlike(t, F.lit(r"\.[0-9]*\."))
 
     def spelled(raw: Column) -> Column:
         def one(token: Column, i: Column) -> Column:
@@ -50,7 +48,10 @@ def expression_tokens(answer: Column) -> Column:
 
         return F.flatten(F.transform(raw, one))
 
-    return F.when(known, let(F.regexp_extract_all(text, F.lit(f"({TOKEN})"), F.lit(1)), spelled))
+    return F.when(
+        F.length(bare) <= LONGEST,
+        let(text, lambda t: F.when(looks_known(t), let(F.regexp_extract_all(t, F.lit(f"({TOKEN})"), F.lit(1)), spelled))),
+    )
 
 
 def _times(a: Column, b: Column, p: Column) -> Column:
@@ -199,7 +200,12 @@ def evaluated(tokens: Column, p: Column, seed: Column) -> Column:
 
 
 def same_expression(pred: Column, gold: Column) -> Column:
-    """Whether both are the same rational function; NULL where that stays undecided."""
+    """Whether two answers are the same rational function; NULL where that stays undecided."""
+    return same_bare_expression(bare_form(pred), bare_form(gold))
+
+
+def same_bare_expression(pred: Column, gold: Column) -> Column:
+    """``same_expression`` of answers in bare form."""
 
     points = F.array(*(F.struct(F.lit(p).cast("bigint").alias("p"), F.lit(seed).alias("seed")) for p, seed in POINTS))
 

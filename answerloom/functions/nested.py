@@ -304,7 +304,7 @@ def nested_match(
             # Once a level is empty, nothing more is looked at.
             return let(_level(p, g, pairs, levels), lambda level: F.struct(_next(p, g, level).alias("next"), level.alias("out")))
 
-        places = F.sequence(F.lit(0), F.least(p["depth"], g["depth"]))
+        places = F.sequence(F.lit(0), F.least(p["depth"], g["depth"]) + 1)  # parts lie a level below their brackets
         return scan(places, top, down, "array<struct<x:int,y:int>>", f"array<{PAIR}>")
 
     def inside_out(p: Column, g: Column, all_levels: Column) -> Column:

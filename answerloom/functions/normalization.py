@@ -179,7 +179,10 @@ def expression_form(answer: Column) -> Column:
     so those stay as ``\frac(a)(b)`` and ``\sqrt(a)``; use
     :func:`fractions_inline` and :func:`roots_inline` on the raw answer.
     """
-    text = bare_form(answer)
+    return expression_form_of_bare(bare_form(answer))
+
+
+def expression_form_of_bare(text: Column) -> Column:
     for latex, plain in EXPRESSION_FORMS:
         text = F.replace(text, F.lit(latex), F.lit(plain))
     return text
@@ -217,8 +220,14 @@ def _edit(start: Column, stop: Column, new: str) -> Column:
     return F.struct(start.alias("start"), stop.alias("stop"), F.lit(new).alias("new"))
 
 
-def fractions_inline(text: Column) -> Column:
-    r"""``\frac{a}{b}`` and ``\dfrac{a}{b}`` to ``((a))/((b))``, outermost only, whatever their depth."""
+def fractions_inline(text: Column, nested: bool = False) -> Column:
+    r"""``\frac{a}{b}`` and ``\dfrac{a}{b}`` to ``((a))/((b))``, whatever their depth; outermost only, or ``nested`` ones too."""
+
+    def outermost(all_of_them: Column) -> Column:
+        """Those that begin behind the end of the last one taken."""
+        behind = lambda end, f: f["open"] - 1 > end
+        ends = running(all_of_them, F.lit(-2), lambda end, f: F.when(behind(end, f), f["under"]).otherwise(end), "int")
+        return let(ends, lambda e: F.filter(all_of_them, lambda f, i: behind(F.get(e, i), f)))
 
     def edits(t: Column) -> Column:
         over_under = F.filter(
@@ -232,17 +241,13 @@ def fractions_inline(text: Column) -> Column:
             lambda f: f["under"].isNotNull(),
         )
 
-        def outermost(all_of_them: Column) -> Column:
-            """Those that begin behind the end of the last one taken."""
-            behind = lambda end, f: f["open"] - 1 > end
-            ends = running(all_of_them, F.lit(-2), lambda end, f: F.when(behind(end, f), f["under"]).otherwise(end), "int")
-            return let(ends, lambda e: F.filter(all_of_them, lambda f, i: behind(F.get(e, i), f)))
-
         def three(f: Column) -> Column:
             open_, over, under = (F.get(t["starts"], f[name]) for name in ("open", "over", "under"))
             command = F.when(F.endswith(F.get(t["pieces"], f["open"] - 1), F.lit("\\dfrac")), 6).otherwise(5)
             return F.array(_edit(open_ - command, open_ + 1, "(("), _edit(over, over + 2, "))/(("), _edit(under, under + 1, "))"))
 
+        if nested:
+            return F.array_sort(F.flatten(F.transform(over_under, three)))
         return F.flatten(F.transform(let(over_under, outermost), three))
 
     return _with_braces(text, "frac", edits)

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.columns import deeper_analysis
-from answerloom.functions.equivalence import bare_match, is_blank, level_by_level, nested, simple_match
+from answerloom.functions.equivalence import Rule, apart_from, is_blank, level_by_level, simple_match, written_out
 from answerloom.functions.extraction import robust_answer, simple_answer
-from answerloom.functions.identity import same_expression
+from answerloom.functions.identity import same_bare_expression
 from answerloom.functions.normalization import bare_form
 
 # Writing out the rules takes about a second of driver time, so each session
@@ -40,23 +40,23 @@ def _bare(name: str, other: str) -> Column:
     return F.when(F.col(name) != F.col(other), bare_form(F.col(name)))
 
 
-def _deep() -> Column:
-    return nested(F.col("_bare_pred")) & nested(F.col("_bare_gold"))
+def _rule(*rules: str) -> Rule | None:
+    return same_bare_expression if rules else None
 
 
-def _apart(name: str) -> Column:
-    return F.when(_deep(), level_by_level().apart(F.col(name)))
+def _apart(name: str, *rules: str) -> Column:
+    further = _rule(*rules)
+    return F.when(apart_from(F.col("_bare_pred"), F.col("_bare_gold"), further), level_by_level(further).apart(F.col(name)))
 
 
-def _pairs() -> Column:
-    return level_by_level().pairs(F.col("_apart_pred"), F.col("_apart_gold"))
+def _pairs(*rules: str) -> Column:
+    return level_by_level(_rule(*rules)).pairs(F.col("_apart_pred"), F.col("_apart_gold"))
 
 
 def _cascade(*rules: str) -> Column:
-    p, g = F.col("_bare_pred"), F.col("_bare_gold")
-    further = same_expression if rules else None
+    further = _rule(*rules)
     by_level = level_by_level(further).match(F.col("_apart_pred"), F.col("_apart_gold"), F.col("_pairs"))
-    return F.coalesce(by_level, bare_match(p, g, further=further))
+    return F.coalesce(by_level, written_out(F.col("_bare_pred"), F.col("_bare_gold"), further))
 
 
 def with_match(df: DataFrame, pred: str, gold: str, out: str, identities: bool = False) -> DataFrame:
@@ -71,17 +71,18 @@ def with_match(df: DataFrame, pred: str, gold: str, out: str, identities: bool =
     deeply nested answers, which are NULL for all others.
     """
     spark = df.sparkSession
+    rules = ("identities",) if identities else ()
     if identities:
         deeper_analysis()
     bare = df.withColumns(
         {"_bare_pred": _kept(spark, _bare, pred, gold), "_bare_gold": _kept(spark, _bare, gold, pred)}
     )
-    apart = bare.withColumns({"_apart_pred": _kept(spark, _apart, "_bare_pred"), "_apart_gold": _kept(spark, _apart, "_bare_gold")})
-    paired = apart.withColumn("_pairs", _kept(spark, _pairs))
+    apart = bare.withColumns({f"_apart_{n}": _kept(spark, _apart, f"_bare_{n}", *rules) for n in ("pred", "gold")})
+    paired = apart.withColumn("_pairs", _kept(spark, _pairs, *rules))
     match = (
         F.when(_kept(spark, _blank, pred, gold), F.lit(False))
         .when(F.col(pred) == F.col(gold), F.lit(True))
-        .otherwise(_kept(spark, _cascade, *(["identities"] if identities else [])))
+        .otherwise(_kept(spark, _cascade, *rules))
     )
     return paired.withColumn(out, match.cast("int")).drop("_bare_pred", "_bare_gold", "_apart_pred", "_apart_gold", "_pairs")
 

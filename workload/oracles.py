@@ -238,7 +238,9 @@ FROM joined WHERE text <> ''"""
 # The very deep commands, whose outcome is known, stand in front.
 _DEEP = "concat(repeat('{', 50), gold, repeat('}', 50))"
 _FRONT = "CASE WHEN seed IS NULL THEN concat({}, CASE WHEN text <> '' THEN '+' ELSE '' END) ELSE '' END"
-_DEEP_FRAC = _FRONT.format(f"'((', {_DEEP}, '))/((7))+\\sqrt{{', {_DEEP}, '}}'")
+_FRAC = f"'\\\\d?frac\\{{({NEST3})\\}}\\{{({NEST3})\\}}', '((\\1))/((\\2))', 'g'"
+_INNER = _DEEP.replace("gold", f"regexp_replace(gold, {_FRAC})")  # within a root a fraction is an outermost one
+_DEEP_FRAC = _FRONT.format(f"'((', {_DEEP}, '))/((7))+\\sqrt{{', {_INNER}, '}}'")
 _DEEP_ROOT = _FRONT.format(f"'\\dfrac{{', {_DEEP}, '}}{{7}}+sqrt((', {_DEEP}, '))'")
 LATEX_SUM = """SELECT method, seed, example_id, gold, concat_ws('+', completion,
   concat('\\dfrac{{', gold, '}}{\\sqrt{2}}'), concat('\\sqrt{x+\\sqrt{', gold, '}}'),
