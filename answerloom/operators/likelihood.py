@@ -13,19 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.functions.tokens import token_entropy, token_logprob
+from answerloom.functions.tokens import token_entropy, token_entropy_arrow, token_logprob, token_logprob_arrow
 
 
-def with_token_logprob(tokens: DataFrame, temperature: float = 1.0) -> DataFrame:
-    """Add ``logprob`` to every token row, without a shuffle."""
-    return tokens.withColumn(
-        "logprob", token_logprob(F.col("logits"), F.col("target"), temperature)
-    )
+def with_token_logprob(tokens: DataFrame, temperature: float = 1.0, arrow: bool = False) -> DataFrame:
+    """Add ``logprob`` to every token row, without a shuffle; ``arrow`` for vocabularies of many thousands."""
+    form = token_logprob_arrow if arrow else token_logprob
+    return tokens.withColumn("logprob", form(F.col("logits"), F.col("target"), temperature))
 
 
-def with_token_entropy(tokens: DataFrame) -> DataFrame:
-    """Add ``entropy`` (nats) to every token row, without a shuffle."""
-    return tokens.withColumn("entropy", token_entropy(F.col("logits")))
+def with_token_entropy(tokens: DataFrame, arrow: bool = False) -> DataFrame:
+    """Add ``entropy`` (nats) to every token row, without a shuffle; ``arrow`` for vocabularies of many thousands."""
+    return tokens.withColumn("entropy", (token_entropy_arrow if arrow else token_entropy)(F.col("logits")))
 
 
 def sequence_logprob(tokens: DataFrame, temperature: float = 1.0) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -110,3 +112,19 @@ def test_run_rows_keep_every_completion(spark):
     assert len(got) == 4
     assert (got["base", 1].accept_rate, got["base", 1].num_tokens_generated) == (0.0, 2)
     assert (got["power_mh", 1].accept_rate, got["power_mh", 9].accept_rate, got["power_mh", 9].avg_entropy) == (1.0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("temperature", [1.0, 0.25])
+def test_both_forms_of_the_sums_agree(spark, temperature):
+    """Column expressions and Arrow batches, on wide, narrow, empty and missing rows and targets out of range."""
+    pick = random.Random(6)
+    rows = [([pick.uniform(-30, 30) for _ in range(n)], pick.randrange(n)) for n in (1, 2, 7, 300, 5000) for _ in range(4)]
+    rows += [(None, 0), ([1000.0, 999.0, -1000.0], 1), ([0.0] * 9, 8), ([1.0, 2.0], None)]
+    df = spark.createDataFrame(rows, "logits array<double>, target int").repartition(3)
+    both = with_token_logprob(df, temperature).withColumnRenamed("logprob", "a")
+    both = with_token_logprob(both, temperature, arrow=True).withColumnRenamed("logprob", "b")
+    both = with_token_entropy(both).withColumnRenamed("entropy", "c")
+    for r in with_token_entropy(both, arrow=True).collect():
+        assert (r.a is None, r.c is None) == (r.b is None, r.entropy is None)
+        assert r.a is None or r.b == pytest.approx(r.a, rel=1e-9, abs=1e-9)
+        assert r.c is None or r.entropy == pytest.approx(r.c, rel=1e-9, abs=1e-9)
