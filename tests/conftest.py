@@ -1,3 +1,5 @@
+import gc
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -9,6 +11,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -19,6 +22,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def plans_are_freed():
+    """Frames of a test stay referenced from Python, plans and all, until Python looks for cycles."""
+    yield
+    gc.collect()
+
+
 @pytest.fixture()
 def one_column(spark):
     """Apply a column function to a list of texts and collect the results in order."""
