@@ -60,7 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 # A range holds about so many rows, and there are never more ranges than that.
-RANGE_ROWS, MOST_RANGES = 1 << 20, 4096
+RANGE_ROWS, MOST_RANGES = 1 << 17, 4096
 # Keys drawn for each range, from which the cuts between ranges are taken.
 DRAWN = 20
 
@@ -120,6 +120,8 @@ def with_position(
     gives the same positions.
     """
     cuts = range_cuts(df, order, range_rows, most_ranges)
+    if not cuts:  # a single range
+        return df.withColumn(out, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     ranged = df.withColumn("_range", range_of(order, cuts, df.schema))
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most most_ranges rows
