@@ -154,7 +154,8 @@ def test_work_grows_with_the_text(spark):
         (split_commas, parts, 2), (roots_inline, only_roots, 2), (fractions_inline, roots, 5), (roots_inline, roots, 5)
     ):
         few, many = timed(spark, function, text(10_000)), timed(spark, function, text(40_000))
-        assert many < most and many < 6 * few + 0.5, (function.__name__, few, many)
+        # Four times the text, sorting and garbage collection included; quadratic work would take sixteen times as long.
+        assert many < most and many < 10 * few + 0.5, (function.__name__, few, many)
     flat = lambda n: "((1)," + "1," * n + "1)"
     few, many = timed(spark, match, flat(1_500)), timed(spark, match, flat(6_000))
     assert many < 10 and many < 6 * few + 0.5, (few, many)
