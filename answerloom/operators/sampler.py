@@ -6,8 +6,10 @@ Input columns: ``chain_id``, ``block``, ``step``, ``alpha``, ``prop_logp``,
 
 from __future__ import annotations
 
+import itertools
 import sys
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -248,9 +250,7 @@ def _met(sides: np.ndarray, bounds: np.ndarray, leaves: np.ndarray, x: float) ->
 
 
 def _figures(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    prop, alpha, old, new, u = (
-        rows.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("prop_logp", "alpha", "logq_old", "logq_new", "u")
-    )
+    prop, alpha, old, new, u = (_doubles(rows, c) for c in ("prop_logp", "alpha", "logq_old", "logq_new", "u"))
     return (prop, *thresholds(alpha, prop, old - new, u))
 
 
@@ -263,50 +263,126 @@ def replay(steps: DataFrame, segment_rows: int = SEGMENT_STEPS) -> DataFrame:
     missing figure never takes its proposal; a block whose first value is
     missing has no state until it takes one, and a missing state takes nothing.
 
-    A block may hold most of the log.  It is cut into segments of at most
-    ``segment_rows`` rows; each is summed up by the thresholds that a chain can
-    meet in it first (about the logarithm of its rows, unless the thresholds
-    keep rising); the summaries are walked through block by block, and then all
-    segments are replayed at once, each from the state that enters it.
+    A block may hold most of the log, and a log may have a block to every other
+    row.  So it is cut by row count, into segments of ``segment_rows`` rows,
+    whatever blocks they hold.  Only a segment's first and last block may reach
+    over its borders; these are summed up by the thresholds that a chain can
+    meet first (about the logarithm of their rows, unless the thresholds keep
+    rising).  The summaries are walked through block by block, which gives the
+    state that enters each segment, and then all segments are replayed at once.
+    Every step runs over Arrow batches of many segments.
     """
     logged = _in_segments(steps, segment_rows)
-    keys = ["chain_id", "block", "_segment"]
+    block = ["chain_id", "block"]
     kinds = {f.name: f.dataType.simpleString() for f in logged.schema.fields}
-    key_kinds = ", ".join(f"{k} {kinds[k]}" for k in keys)
-
-    def sum_up(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_place")
-        found = summary(*_figures(rows))
-        first = rows.column("cur_logp").cast(pa.float64())[0].as_py()
-        return pa.table(
-            [*(rows.column(k).slice(0, 1) for k in keys), pa.array([first], pa.float64()), *(pa.array([a.tolist()], pa.list_(pa.float64())) for a in found)],
-            names=[*keys, "first", "sides", "bounds", "leaves"],
-        )
-
-    def walk_summaries(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_segment")
-        first = rows.column("first")[0].as_py()
-        x, entries = np.nan if first is None else first, []
-        for sides, bounds, leaves in zip(*(rows.column(c) for c in ("sides", "bounds", "leaves"))):
-            entries.append(x)
-            x = _met(*(np.array(a.as_py(), float) for a in (sides, bounds, leaves)), x)
-        return rows.select(keys).append_column("_entry", pa.array(entries, pa.float64()))
-
-    def run_again(rows: pa.Table, entry: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_place")
-        prop, bound, side = _figures(rows)
-        state = walk(entry.column("_entry")[0].as_py() if entry.num_rows else np.nan, prop, bound, side)[:-1]
-        took = np.where(side > 0, state < bound, state > bound)
-        return rows.append_column("replay_logp", pa.array(state, mask=np.isnan(state))).append_column("replay_accepted", pa.array(took))
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    block_kinds = ", ".join(f"{k} {kinds[k]}" for k in block)
 
-    narrow = logged.select(*keys, "_place", "cur_logp", "prop_logp", "alpha", "logq_old", "logq_new", "u")
-    summaries = narrow.groupBy(*keys).applyInArrow(
-        sum_up, f"{key_kinds}, first double, sides array<double>, bounds array<double>, leaves array<double>"
+    narrow = logged.select(*block, "_segment", "_place", "cur_logp", "prop_logp", "alpha", "logq_old", "logq_new", "u")
+    summaries = _with_begins(narrow.repartition("_segment"), block, "_segment", "_place").mapInArrow(
+        _sum_up_borders, f"{block_kinds}, _segment bigint, _leads boolean, first double, sides array<double>, bounds array<double>, leaves array<double>"
     )
-    entries = summaries.groupBy("chain_id", "block").applyInArrow(walk_summaries, f"{key_kinds}, _entry double")
-    columns = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    entries = _with_begins(summaries.repartition(*block), block, *block, "_segment").mapInArrow(
+        _walk_summaries, "_segment bigint, _entry double"
+    )
+    # An entry comes before the rows of its segment: it has no place.
+    entered = logged.withColumn("_entry", F.lit(None).cast("double")).unionByName(entries, allowMissingColumns=True)
     return (
-        logged.groupBy(*keys).cogroup(entries.groupBy(*keys))
-        .applyInArrow(run_again, f"{columns}, replay_logp double, replay_accepted boolean")
+        _with_begins(entered.repartition("_segment"), block, "_segment", "_place")
+        .mapInArrow(_run_again, f"{columns}, replay_logp double, replay_accepted boolean")
         .drop("_segment", "_place")
     )
+
+
+def _with_begins(rows: DataFrame, block: list[str], *order: str) -> DataFrame:
+    """``rows`` in ``order`` within their partitions, with ``_begins``: does a block begin here, or else what all but the last of ``order`` name?"""
+    before = Window.partitionBy(*order[:-1]).orderBy(order[-1])
+    same = [F.lag(k).over(before).eqNullSafe(F.col(k)) for k in block]
+    begins = F.lag(F.lit(1)).over(before).isNull() | ~(same[0] & same[1])
+    return rows.withColumn("_begins", begins).sortWithinPartitions(*order)
+
+
+def _doubles(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _sum_up_borders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The summaries of each segment's first and last block (one if they are the same)."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            new = pa.Table.from_batches([batch])
+            rows = new if rest is None else pa.concat_tables([rest, new])
+        else:
+            rows = rest
+        if rows is None or not rows.num_rows:
+            continue
+        segments = rows.column("_segment").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(segments)) + 1).tolist()]
+        if batch is None:
+            cuts.append(rows.num_rows)
+        rest = rows.slice(cuts[-1])  # the last segment may go on in the next batch
+        rows = rows.slice(0, cuts[-1])
+        if not rows.num_rows:
+            continue
+        prop, bound, side = _figures(rows)
+        first = _doubles(rows, "cur_logp")
+        begins = np.flatnonzero(rows.column("_begins").to_numpy(zero_copy_only=False))
+        spans = []
+        for start, stop in zip(cuts, cuts[1:]):
+            one, many = np.searchsorted(begins, (start, stop))
+            spans.append((start, int(begins[one + 1]) if one + 1 < many else stop, True))
+            if one + 1 < many:
+                spans.append((int(begins[many - 1]), stop, False))
+        found = [summary(prop[a:b], bound[a:b], side[a:b]) for a, b, _ in spans]
+        at = [a for a, _, _ in spans]
+        heads = rows.select(["chain_id", "block", "_segment"]).take(pa.array(at)).combine_chunks()
+        heads = heads.append_column("_leads", pa.array([leads for _, _, leads in spans]))
+        heads = heads.append_column("first", pa.array(first[at], pa.float64()))
+        for i, name in enumerate(("sides", "bounds", "leaves")):
+            heads = heads.append_column(name, pa.array([f[i].tolist() for f in found], pa.list_(pa.float64())))
+        yield from heads.combine_chunks().to_batches()
+
+
+def _walk_summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The state with which each segment is entered."""
+    x = np.nan
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        entries = []
+        first = _doubles(rows, "first").tolist()
+        begins, leads, sides, bounds, leaves = (rows.column(c).to_pylist() for c in ("_begins", "_leads", "sides", "bounds", "leaves"))
+        for k in range(rows.num_rows):
+            if begins[k]:
+                x = first[k]
+            entries.append(x)
+            x = _met(*(np.array(a[k], float) for a in (sides, bounds, leaves)), x)
+        leading = pa.array(leads, pa.bool_())
+        out = pa.table([rows.column("_segment"), pa.array(entries, pa.float64())], names=["_segment", "_entry"]).filter(leading)
+        yield from out.combine_chunks().to_batches()
+
+
+def _run_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row with the state it finds; entries set the state and go."""
+    state, entered = np.nan, False
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        prop, bound, side = _figures(rows)
+        is_entry = rows.column("_place").is_null().to_numpy()
+        found = np.empty(rows.num_rows)
+        figures = (is_entry, rows.column("_begins").to_numpy(zero_copy_only=False), prop, bound, side)
+        starts = np.where(is_entry, _doubles(rows, "_entry"), _doubles(rows, "cur_logp")).tolist()
+        for k, (enters, begins, p, t, s, start) in enumerate(zip(*(f.tolist() for f in figures), starts)):
+            if enters:
+                state, entered = start, True
+                continue
+            if begins and not entered:
+                state = start
+            entered = False
+            found[k] = state
+            if (state < t) if s > 0 else (state > t):
+                state = p
+        took = np.where(side > 0, found < bound, found > bound)
+        out = rows.drop_columns(["_begins", "_entry"])
+        out = out.append_column("replay_logp", pa.array(found, mask=np.isnan(found))).append_column("replay_accepted", pa.array(took))
+        yield from out.filter(pa.array(~is_entry)).combine_chunks().to_batches()

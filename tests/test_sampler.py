@@ -150,3 +150,26 @@ def test_replay_of_odd_rows(spark):
     got = {(r.chain_id, r.step): (r.replay_logp, r.replay_accepted) for r in replay(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {(none, 1): (-5.0, True), (none, 2): (-1.0, False), (1, none): (none, False), (1, 5): (none, False)}
     assert replay(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("segment", [1, 3, 40, 100_000])
+def test_replay_of_many_short_blocks_runs_over_batches(spark, segment):
+    """Blocks of one to three rows: a Python call for each would take a millisecond a row; a long block among them crosses segments."""
+    pick = random.Random(5)
+    rows, want = [], {}
+    for chain in range(900):
+        for block in (None, 2):
+            x = pick.uniform(-5, 5)
+            for step in range(300 if chain == 450 else pick.randrange(1, 4)):
+                prop, u = pick.uniform(-5, 5), pick.random()
+                rows.append((chain, block, step, 2.0, prop, x if step == 0 else 99.0, 0.0, 0.0, u))
+                want[chain, block, step] = (x, direct(x, 2.0, prop, 0.0, u))
+                x = prop if direct(x, 2.0, prop, 0.0, u) else x
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        replayed = replay(spark.createDataFrame(rows, SCHEMA), segment)
+        assert "InArrow" in replayed._jdf.queryExecution().toString() and "FlatMap" not in replayed._jdf.queryExecution().toString()
+        got = {(r.chain_id, r.block, r.step): (r.replay_logp, r.replay_accepted) for r in replayed.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want
