@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from answerloom.functions.normalization import (
     bare_form,
@@ -128,3 +131,21 @@ def test_roots_inline(one_column):
 @pytest.mark.parametrize("function", [bare_form, simple_form, fractions_inline])
 def test_dollar_and_backslash_are_literal(one_column, function):
     assert one_column(function, [r"\frac{$1}{\2}"])[0] is not None
+
+
+def test_ordinary_texts_are_rewritten_by_patterns_and_others_alike(spark):
+    """Few braces take patterns, many take pieces; both leave what is not closed.  Pieces took some 0.4 ms a row."""
+    few, deep = "\\frac{{1}}{\\sqrt{2}}+\\sqrt{x+\\sqrt{3}}+\\sqrt{open \\sqrt{4} \\frac{5}", "{" * 200 + "y" + "}" * 200
+    df = spark.range(100_000).select(F.concat_ws("+", F.lit(few), "id").alias("t")).repartition(4)
+    made = df.select(fractions_inline(F.col("t")).alias("f"), roots_inline(F.col("t")).alias("r"))
+    got = made.first()
+    assert got.f.startswith("(({1}))/((\\sqrt{2}))+\\sqrt{x+\\sqrt{3}}+\\sqrt{open \\sqrt{4} \\frac{5}+")
+    assert got.r.startswith("\\frac{{1}}{sqrt((2))}+sqrt((x+sqrt((3))))+\\sqrt{open \\sqrt{4} \\frac{5}+")
+    start = time.monotonic()
+    made.write.format("noop").mode("overwrite").save()
+    assert time.monotonic() - start < 8
+    many = spark.createDataFrame([(f"\\frac{{{deep}}}{{2}}\\sqrt{{{deep}}}",)], "t STRING")
+    got = many.select(fractions_inline(F.col("t")).alias("f"), roots_inline(F.col("t")).alias("r")).first()
+    assert got.f == f"(({deep}))/((2))\\sqrt{{{deep}}}" and got.r == f"\\frac{{{deep}}}{{2}}sqrt(({deep}))"
+    inside = spark.createDataFrame([("\\sqrt{" * n + "z" + "}" * n,) for n in (7, 8, 9, 30)], "t STRING")
+    assert [r.x for r in inside.select(roots_inline(F.col("t")).alias("x")).collect()] == ["sqrt((" * n + "z" + "))" * n for n in (7, 8, 9, 30)]
