@@ -70,3 +70,17 @@ def test_filter_keeps_every_key(spark):
     assert marked.count() <= (1 << 20) // 32768
     assert memo.maybe_in(keys, marked, 1 << 20).count() == 5000
     assert memo.maybe_in(others, marked, 1 << 20).count() < 100
+
+
+def test_answers_are_extracted_once_for_the_pairs_and_once_for_the_result(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    table = runs(spark, 200, 5).withColumn("completion", counted.asNondeterministic()("completion"))
+    graded = memo.grade_runs_with_memo(table, str(tmp_path / "memo"), "a")
+    assert graded.count() == 200 and grades(graded) == grades(grade_runs(runs(spark, 200, 5)))
+    assert seen.value <= 600  # the pairs, the count and the grades
